@@ -63,10 +63,15 @@ def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | No
 
 
 def dense_rank_global(df: DataFrame, key: str, out: str = "dense_rank") -> DataFrame:
-    """``df`` plus ``out`` = ``dense_rank() over (order by key)`` as INT (null key ranks first)."""
+    """``df`` plus ``out`` = ``dense_rank() over (order by key)`` as INT (null key ranks first).
+
+    Like ``withColumn``, a column already named ``out`` (without case) is replaced.
+    """
     distinct_keys = df.select(q(key).alias("_k")).distinct()
-    ranks = row_number_global(distinct_keys, ["_k"], tie_break=[], out=out)
-    return df.join(ranks, q(key).eqNullSafe(ranks["_k"]), "left").drop("_k")
+    ranks = row_number_global(distinct_keys, ["_k"], tie_break=[], out="_rank")
+    joined = df.join(ranks, df[f"`{key}`"].eqNullSafe(ranks["_k"]), "left")
+    kept = [df[f"`{c}`"] for c in df.columns if c.lower() != out.lower()]
+    return joined.select(*kept, ranks["_rank"].alias(out))
 
 
 def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | None = None) -> DataFrame:

@@ -124,8 +124,8 @@ SELECT {record_id(UNIVERSAL_SENTIMENT_COLUMNS)} AS _id, * FROM universal_sentime
 """, ("universal_sentiment",)),
     "recs_json": ("""
 SELECT CAST(user_id AS INTEGER) AS user_id,
-  to_json(list({'product_id': CAST(product_id AS INTEGER), 'rating': CAST(predicted_rating AS FLOAT)} ORDER BY rn))
-    AS recommendations
+  CAST(to_json(list({'product_id': CAST(product_id AS INTEGER), 'rating': CAST(predicted_rating AS FLOAT)}
+                     ORDER BY rn)) AS VARCHAR) AS recommendations
 FROM recs_flat GROUP BY user_id
 """, ("recs_flat",)),
     # KV-5 state, stated with NOT EXISTS

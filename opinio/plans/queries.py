@@ -555,8 +555,8 @@ def q_recs_to_json(spark, sf):
 
 @register("recs_top3", "SCL-15, SCL-16", with_ctes("""
 SELECT CAST(user_id AS INTEGER) AS user_id,
-  to_json(list({'product_id': CAST(product_id AS INTEGER), 'rating': CAST(predicted_rating AS FLOAT)} ORDER BY rn)
-          FILTER (WHERE rn <= 3)) AS top_recommendations
+  CAST(to_json(list({'product_id': CAST(product_id AS INTEGER), 'rating': CAST(predicted_rating AS FLOAT)}
+                     ORDER BY rn) FILTER (WHERE rn <= 3)) AS VARCHAR) AS top_recommendations
 FROM recs_flat GROUP BY user_id""", "recs_flat"))
 def q_recs_top3(spark, sf):
     stored = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations")
@@ -651,7 +651,7 @@ UNION ALL SELECT 'sentiment_preview', CAST(row_number() OVER (ORDER BY _id) AS V
 FROM (SELECT * FROM sentiment_docs ORDER BY _id LIMIT 3) p
 UNION ALL SELECT 'recommendations', 'total_users', CAST(count(*) AS VARCHAR) FROM recs_json
 UNION ALL SELECT 'recommendations_preview', coalesce(CAST(user_id AS VARCHAR), 'N/A'),
-  to_json(from_json(recommendations, '[{"product_id":"INTEGER","rating":"FLOAT"}]')[1:3])
+  CAST(to_json(from_json(recommendations, '[{"product_id":"INTEGER","rating":"FLOAT"}]')[1:3]) AS VARCHAR)
 FROM (SELECT * FROM recs_json ORDER BY user_id LIMIT 3) r""", "sentiment_docs", "recs_json"))
 def q_serving_summary(spark, sf):
     s_docs = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis")
