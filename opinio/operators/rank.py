@@ -15,6 +15,13 @@ row into one task.  Here the same numbers come from a range-partitioned sort:
    is the number of partitions, not the number of rows;
 4. rank = offset of the partition + position in the partition + 1.
 
+Identical rows cannot be split by any sort key, so when the order covers every
+column the rows are first folded to ``(row, copies)`` by an aggregate with
+map-side combine and expanded again with a copy index.  A group with more than
+``COPY_CHUNK`` copies (say, one row holding a third of the table) is expanded
+in chunks spread round-robin over tasks, so no task generates or sorts it
+alone; the copy index then lets the range sampler split it like any other key.
+
 Dense ranks run the same steps over the distinct keys (one row per key, so no
 range can be skewed) and join the ranks back on the key, null-safe.
 """
@@ -31,6 +38,8 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 # Fixed value: the reference derives product ids as user id modulo 1000.
 SURROGATE_PRODUCT_MODULUS = 1000
+# Copies of one row expanded by a single task at most.
+COPY_CHUNK = 4096
 
 
 def _sort_keys(order: list[str], tie_break: list[str]) -> list[Column]:
@@ -38,17 +47,47 @@ def _sort_keys(order: list[str], tie_break: list[str]) -> list[Column]:
     return [q(c).asc_nulls_first() for c in order + tie_break]
 
 
+def spread_copies(df: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
+    """``df`` with a ``_copy`` index that numbers identical rows 0..n-1.
+
+    Identical rows are folded first (partial aggregation, so a hot row costs
+    one record per map task in the shuffle); rows with more than ``chunk``
+    copies are cut into chunks, the chunks are spread round-robin, and each
+    task expands at most ``chunk`` copies of a row.
+    """
+    n = F.col("_n")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    few = groups.filter(n <= chunk).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_copy"))
+    last_chunk = F.floor((n - 1) / F.lit(chunk)).cast("long")
+    many = (
+        groups.filter(n > chunk)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
+        .repartition(tasks)
+        .select("*", F.explode(F.sequence(F.col("_chunk") * chunk,
+                                          F.least((F.col("_chunk") + 1) * chunk, n) - 1)).alias("_copy"))
+        .drop("_chunk")
+    )
+    return few.unionByName(many).drop("_n")
+
+
 def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | None = None,
-                      out: str = "row_number") -> DataFrame:
+                      out: str = "row_number", collapse_copies: bool | None = None) -> DataFrame:
     """``df`` plus an INT column ``out`` equal to ``row_number() over (order by order, tie_break)``.
 
     ``tie_break`` defaults to every other column, which makes the order total
-    on de-duplicated input; the result is then deterministic.
+    up to identical rows (whose numbers are interchangeable); the result is
+    then deterministic.  ``collapse_copies`` (default: when the order covers
+    every column) folds identical rows first, see :func:`spread_copies`; pass
+    False when the rows are known to be distinct.
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in order]
-    keys = _sort_keys(order, tie_break)
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if collapse_copies is None:
+        collapse_copies = set(df.columns) <= set(order) | set(tie_break)
+    source = spread_copies(df) if collapse_copies else df
+    keys = _sort_keys(order, tie_break + (["_copy"] if collapse_copies else []))
+    ranged = source.repartitionByRange(*keys).sortWithinPartitions(*keys)
     tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "rank")
     counts = tagged.groupBy(F.shiftright("_mid", _POS_BITS).alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: the window below sees a bounded, tiny frame
@@ -68,7 +107,7 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "dense_rank") -> DataF
     Like ``withColumn``, a column already named ``out`` (without case) is replaced.
     """
     distinct_keys = df.select(q(key).alias("_k")).distinct()
-    ranks = row_number_global(distinct_keys, ["_k"], tie_break=[], out="_rank")
+    ranks = row_number_global(distinct_keys, ["_k"], tie_break=[], out="_rank", collapse_copies=False)
     joined = df.join(ranks, df[f"`{key}`"].eqNullSafe(ranks["_k"]), "left")
     kept = [df[f"`{c}`"] for c in df.columns if c.lower() != out.lower()]
     return joined.select(*kept, ranks["_rank"].alias(out))

@@ -43,3 +43,19 @@ def test_surrogate_product_is_modulo(spark):
     got = rank.surrogate_ids(df, tie_break=["rating", "id"])
     assert got.filter(F.col("product_id") != F.col("user_id") % 1000).count() == 0
     assert got.select(F.min("user_id"), F.max("user_id")).first() == (1, df.count())
+
+
+def test_hot_identical_row_is_spread(spark):
+    # one row repeated far beyond the chunk size, plus ordinary rows
+    hot = spark.range(10000).select(F.lit("same").alias("review"), F.lit(3).alias("rating"))
+    cold = spark.range(500).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("review"),
+                                   (F.col("id") % 5).cast("int").alias("rating"))
+    df = hot.unionByName(cold)
+    spread = rank.spread_copies(df, chunk=512)
+    assert spread.count() == df.count()
+    assert spread.filter(F.col("review") == "same").select(F.countDistinct("_copy")).first()[0] == 10000
+    got = rank.row_number_global(df, ["review"], out="rn")
+    assert sorted(r.rn for r in got.collect()) == list(range(1, df.count() + 1))
+    w = Window.orderBy(F.col("review").asc_nulls_first(), "rating")
+    want = df.withColumn("rn", F.row_number().over(w))
+    assert sorted(got.collect()) == sorted(want.collect())
