@@ -33,8 +33,12 @@ def latest_cells(log: DataFrame) -> DataFrame:
     )
 
 
-def apply_log(log: DataFrame) -> DataFrame:
-    """KV-3..5: current state ``row_key, family, qualifier, value`` after all mutations."""
+def apply_log(log: DataFrame, with_seq: bool = False) -> DataFrame:
+    """KV-3..5: current state ``row_key, family, qualifier, value`` after all mutations.
+
+    ``with_seq`` keeps the ``seq`` of each live put, so the state can itself
+    be replayed as a log of puts (see :mod:`opinio.streaming.keyed`).
+    """
     newest = (
         log.filter(F.col("op") != DELETE_ROW)
         .groupBy(*CELL_KEY)
@@ -45,7 +49,13 @@ def apply_log(log: DataFrame) -> DataFrame:
     )
     joined = newest.join(row_deletes, "row_key", "left")
     live = (F.col("last.op") == PUT) & (F.col("deleted_at").isNull() | (F.col("last.seq") > F.col("deleted_at")))
-    return joined.filter(live).select(*CELL_KEY, F.col("last.value").alias("value"))
+    extra = [F.col("last.seq").alias("seq")] if with_seq else []
+    return joined.filter(live).select(*CELL_KEY, F.col("last.value").alias("value"), *extra)
+
+
+def state_as_log(state: DataFrame) -> DataFrame:
+    """A state with ``seq`` (from ``apply_log(..., with_seq=True)``) as a log of puts."""
+    return state.select("seq", F.lit(PUT).alias("op"), *CELL_KEY, "value")
 
 
 def get_row(state: DataFrame, row_key: str) -> DataFrame:

@@ -47,6 +47,11 @@ def batch_recommend(cleaned: DataFrame) -> BatchRecommendations:
                                 recommend.top_users_per_product(fitted), avg_by_user, most)
 
 
+def save_batch_recommendations(out: BatchRecommendations, base: str) -> None:
+    """SNK-6: the flat user and product lists under ``base``, overwrite."""
+    files.save_pair(out.user_recs, out.product_recs, base)
+
+
 def universal_clean(raw: DataFrame) -> tuple[DataFrame, str, str]:
     """JOB-4: detect the columns, then clean; returns (frame, review column, product column)."""
     review, rating, product = columns.detect_columns(raw.columns)

@@ -614,6 +614,26 @@ def q_kv_apply(spark, sf):
     return kv_state(spark, sf)
 
 
+@register("kv_stream_apply", "KV-1..5 (incremental)", with_ctes("SELECT * FROM kv_state", "kv_state"))
+def q_kv_stream_apply(spark, sf):
+    """The mutation log dropped as three files in ``seq`` order, folded by a stream."""
+    from opinio.streaming import keyed as skeyed
+
+    log = fixtures.fixture(spark, sf, "cell_log")
+    incoming = scratch_dir(spark, "incoming")
+    cuts = log.selectExpr("percentile_approx(seq, array(0.33, 0.66)) AS b").first()["b"]
+    drops = [log.filter(F.col("seq") <= cuts[0]),
+             log.filter((F.col("seq") > cuts[0]) & (F.col("seq") <= cuts[1])),
+             log.filter(F.col("seq") > cuts[1])]
+    for i, d in enumerate(drops):
+        d.write.parquet(f"{incoming}/drop={i}")
+    root = scratch_dir(spark, "kv-state")
+    stream = skeyed.start(skeyed.log_source(spark, incoming, max_files_per_trigger=4), root,
+                          scratch_dir(spark, "kv-stream-checkpoint"), available_now=True)
+    stream.awaitTermination()
+    return skeyed.current_state(spark, root).drop("seq")
+
+
 # --- jobs -----------------------------------------------------------------------------
 
 @register("clean_reviews", "JOB-1", with_ctes("SELECT * FROM cleaned_reviews", "cleaned_reviews"))

@@ -1,0 +1,6 @@
+"""Incremental maintenance of keyed tables with Structured Streaming.
+
+The batch operators in :mod:`opinio.operators.keyed` replay a whole mutation
+log.  :mod:`opinio.streaming.keyed` applies the same rule as the log arrives:
+each micro-batch is folded into the previous state version.
+"""

@@ -1,0 +1,73 @@
+"""Keyed-table state kept current from a streaming mutation log.
+
+Every micro-batch (``foreachBatch``) computes the next state version as
+``apply_log(previous state as puts + batch)``: ``seq`` grows across batches,
+so a later delete always wins over the cells already in the state.  Versions
+are written to new folders (``v<batch_id>``) and a one-row pointer is written
+last; a batch id at or below the published version is skipped, so a replayed
+batch after a failure changes nothing.  The stream's own checkpoint and the
+versions live under the shared folder the caller passes.
+
+Each batch rewrites the state it folds into; with a large state and small
+batches, shard the state by ``row_key`` upstream (one stream per shard).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
+
+from opinio.operators import keyed
+
+LOG_SCHEMA = "seq long, op string, row_key string, family string, qualifier string, value string"
+STATE_SCHEMA = "row_key string, family string, qualifier string, value string, seq long"
+POINTER_SCHEMA = "version long, path string"
+
+
+def _pointer(spark: SparkSession, root: str):
+    try:
+        rows = spark.read.schema(POINTER_SCHEMA).json(f"{root}/_current").take(1)
+    except AnalysisException:
+        return None
+    return rows[0] if rows else None
+
+
+def current_state(spark: SparkSession, root: str) -> DataFrame:
+    """The latest published state (``row_key, family, qualifier, value, seq``); empty before the first batch."""
+    p = _pointer(spark, root)
+    if p is None:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.parquet(p["path"])
+
+
+def fold_batch(batch: DataFrame, batch_id: int, root: str) -> None:
+    """Apply one micro-batch of mutations to the state under ``root``."""
+    spark = batch.sparkSession
+    p = _pointer(spark, root)
+    if p is not None and p["version"] >= batch_id:
+        return  # already applied (replay after a failure)
+    previous = current_state(spark, root)
+    log = keyed.state_as_log(previous).unionByName(batch.select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")]))
+    path = f"{root}/v{batch_id}"
+    keyed.apply_log(log, with_seq=True).write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(batch_id, path)], POINTER_SCHEMA).coalesce(1).write.mode("overwrite").json(
+        f"{root}/_current")
+
+
+def start(log_stream: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Start folding ``log_stream`` (schema :data:`LOG_SCHEMA`) into the state under ``root``."""
+    writer = (log_stream.writeStream.foreachBatch(lambda df, i: fold_batch(df, i, root))
+              .option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def log_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files of mutations dropped into ``path``, read as a stream."""
+    reader = spark.readStream.schema(StructType.fromDDL(LOG_SCHEMA))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
