@@ -33,6 +33,19 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """``df`` plus column ``name`` = ``expr``, evaluated exactly once per row.
+
+    A filter on a computed column is normally pushed below the projection
+    that defines it, with the expression copied into the filter: a regex
+    over the review text then runs once per filter and once more for the
+    output.  Producing the value through a one-element ``explode`` (a
+    Generate node, which predicates cannot cross) pins it: later filters and
+    projections read the generated column.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 # --- AGG-1 / AGG-2 -----------------------------------------------------------
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -72,7 +85,9 @@ def drop_missing(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
 # --- SCL-4 / FLT-3 / FLT-4 / FLT-5 --------------------------------------------
 
 def add_clean_text(df: DataFrame, source: str = "review", target: str = "review_clean") -> DataFrame:
-    return df.withColumn(target, text.clean_lower_first(q(source)))
+    """Lower-first normalised text in ``target`` (replacing a column of that name)."""
+    base = df.drop(target) if target in df.columns else df
+    return computed_once(base, target, text.clean_lower_first(q(source)))
 
 
 def min_length(df: DataFrame, column: str = "review_clean", n: int = MIN_CLEAN_LENGTH) -> DataFrame:
@@ -128,7 +143,8 @@ def cleaning_funnel(df: DataFrame) -> DataFrame:
     and conditional counts over the groups give every later step.
     """
     groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    clean_len = F.length(text.clean_lower_first(q("review")))
+    groups = computed_once(groups, "_len", F.length(text.clean_lower_first(q("review"))))
+    clean_len = F.col("_len")
     rating_int = ratings.int_rating(df, "rating")
     present = ~is_missing(df, "review") & ~is_missing(df, "rating")
     long_enough = present & (clean_len >= MIN_CLEAN_LENGTH)
