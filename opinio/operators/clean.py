@@ -25,6 +25,16 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def resolve(df: DataFrame, name: str) -> str:
+    """The frame's own spelling of ``name`` (exact match first, then without case, as Spark resolves)."""
+    if name in df.columns:
+        return name
+    hits = [c for c in df.columns if c.lower() == name.lower()]
+    if len(hits) != 1:
+        raise ValueError(f"column {name!r} not found (or ambiguous) in {df.columns}")
+    return hits[0]
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN for floating columns (what ``dropna`` drops)."""
     c = q(name)

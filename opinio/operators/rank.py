@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.operators.clean import q
+from opinio.operators.clean import q, resolve
 from opinio.sources.files import materialize
 
 _POS_BITS = 33
@@ -101,16 +101,39 @@ def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | No
     return ranked.select(*[q(c) for c in df.columns], number.alias(out))
 
 
+def key_ranks(df: DataFrame, key: str, out: str) -> DataFrame:
+    """``_k, <out>``: the dense rank of every distinct value of ``key`` (one row per value)."""
+    distinct_keys = df.select(q(key).alias("_k")).distinct()
+    return row_number_global(distinct_keys, ["_k"], tie_break=[], out=out, collapse_copies=False)
+
+
+def with_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]]) -> DataFrame:
+    """``df`` plus one dense-rank column per ``(key, out)``, each joined back null-safe.
+
+    Every rank table is computed from ``df`` itself (not from the previous
+    join), then joined on; a column already named ``out`` (without case) is
+    replaced, as ``withColumn`` would.  The join strategy is Spark's: a small
+    rank table is broadcast (its size is known from the written files), a
+    large one sort-merge joined, with AQE splitting a skewed key.
+    """
+    ranked_keys = [(resolve(df, k), out) for k, out in ranked_keys]
+    outs = {out.lower() for _, out in ranked_keys}
+    joined = df
+    rank_cols = []
+    for i, (key, out) in enumerate(ranked_keys):
+        t = key_ranks(df, key, f"_rank{i}").withColumnRenamed("_k", f"_k{i}")
+        joined = joined.join(t, df[f"`{key}`"].eqNullSafe(t[f"_k{i}"]), "left")
+        rank_cols.append(t[f"_rank{i}"].alias(out))
+    kept = [df[f"`{c}`"] for c in df.columns if c.lower() not in outs]
+    return joined.select(*kept, *rank_cols)
+
+
 def dense_rank_global(df: DataFrame, key: str, out: str = "dense_rank") -> DataFrame:
     """``df`` plus ``out`` = ``dense_rank() over (order by key)`` as INT (null key ranks first).
 
     Like ``withColumn``, a column already named ``out`` (without case) is replaced.
     """
-    distinct_keys = df.select(q(key).alias("_k")).distinct()
-    ranks = row_number_global(distinct_keys, ["_k"], tie_break=[], out="_rank", collapse_copies=False)
-    joined = df.join(ranks, df[f"`{key}`"].eqNullSafe(ranks["_k"]), "left")
-    kept = [df[f"`{c}`"] for c in df.columns if c.lower() != out.lower()]
-    return joined.select(*kept, ranks["_rank"].alias(out))
+    return with_ranks(df, [(key, out)])
 
 
 def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | None = None) -> DataFrame:
@@ -121,5 +144,4 @@ def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | N
 
 def dense_rank_ids(df: DataFrame, review_col: str, product_col: str) -> DataFrame:
     """WIN-3: ``user_id`` = dense rank of the review text, ``product_id`` = dense rank of the product."""
-    with_user = dense_rank_global(df, review_col, out="user_id")
-    return dense_rank_global(with_user, product_col, out="product_id")
+    return with_ranks(df, [(review_col, "user_id"), (product_col, "product_id")])
