@@ -27,8 +27,8 @@ def first_number(c: Column) -> Column:
 
 def rating_or_default(c: Column) -> Column:
     """:func:`first_number`, with null or NaN replaced by 3.0 (FLOAT)."""
-    v = first_number(c)
-    return F.when(v.isNull() | F.isnan(v), F.lit(DEFAULT_RATING).cast("float")).otherwise(v)
+    # nanvl/coalesce read the parsed value once (a when-chain would parse it up to three times)
+    return F.coalesce(F.nanvl(first_number(c), F.lit(None).cast("float")), F.lit(DEFAULT_RATING).cast("float"))
 
 
 def to_int_truncating(c: Column, source_type: DataType) -> Column:
