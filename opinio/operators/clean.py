@@ -126,9 +126,12 @@ def select_final_columns(df: DataFrame) -> DataFrame:
         return df.select(*[q(c) for c in FINAL_COLUMNS])
     from opinio.operators.rank import surrogate_ids
 
-    # Order by review; ties broken by the output columns first and then by
-    # every other column, so the order is total on de-duplicated input and a
-    # frequent review text can still be split across range partitions.
+    # Both ids are regenerated when either is missing (an existing one is
+    # replaced, matching names without case as withColumn does).  Order by
+    # review; ties broken by the output columns first and then by every other
+    # column, so the order is total on de-duplicated input and a frequent
+    # review text can still be split across range partitions.
+    df = df.drop(*[c for c in df.columns if c.lower() in ("user_id", "product_id")])
     rest = [c for c in df.columns if c not in ("review", "rating", "review_clean")]
     return surrogate_ids(df, tie_break=["rating", "review_clean", *rest]).select(*FINAL_COLUMNS)
 

@@ -30,8 +30,21 @@ def record_id(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws(FIELD_SEPARATOR, *parts), 256)
 
 
-def with_record_id(df: DataFrame) -> DataFrame:
-    return df.select(record_id(df.columns).alias(ID_FIELD), "*")
+def with_record_id(df: DataFrame, copies: bool = False) -> DataFrame:
+    """``_id`` + the record's fields.
+
+    With ``copies=True`` identical records get distinct ids: each copy's
+    ordinal (from :func:`opinio.operators.rank.spread_copies`, which folds
+    the copies map-side and spreads a hot record over tasks) is hashed with
+    the fields.  Without it, identical records share an id, which is right
+    when the input is de-duplicated (as every writer here does).
+    """
+    if not copies:
+        return df.select(record_id(df.columns).alias(ID_FIELD), "*")
+    from opinio.operators.rank import spread_copies
+
+    spread = spread_copies(df)
+    return spread.select(record_id([*df.columns, "_copy"]).alias(ID_FIELD), *[q(c) for c in df.columns])
 
 
 def write_collection(df: DataFrame, path: str, fmt: str = "json") -> None:

@@ -68,3 +68,20 @@ def test_json_head_bad_json_gives_prefix(spark):
     assert got[0] == ("[" + "x" * 100)[:80]
     assert got[1] == '[{"product_id":1,"rating":2.0},{"product_id":2,"rating":1.0},{"product_id":3,"rating":0.5}]'
     assert got[2] == "[]"
+
+
+def test_record_ids_for_copies_are_distinct(spark):
+    df = spark.createDataFrame([(1, "a")] * 5000 + [(2, "b")], "x int, y string")
+    ids = coll.with_record_id(df, copies=True)
+    assert ids.count() == 5001 and ids.select("_id").distinct().count() == 5001
+    assert ids.columns == ["_id", "x", "y"]
+
+
+def test_final_columns_regenerates_both_ids(spark):
+    from opinio.operators import clean
+
+    df = spark.createDataFrame([(7, 5, "good one", "good one"), (9, 4, "bad  one", "bad  one")],
+                               "User_ID long, rating int, review string, review_clean string")
+    out = clean.select_final_columns(df)
+    assert out.columns == list(clean.FINAL_COLUMNS)
+    assert sorted((r.user_id, r.product_id, r.review) for r in out.collect()) == [(1, 1, "bad  one"), (2, 2, "good one")]
