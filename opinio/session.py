@@ -31,6 +31,26 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     )
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle width is high enough that every shuffle partition
+    fits in executor memory with room to spare (about ``target_partition_bytes``
+    each, or two waves of tasks, whichever is more); AQE then coalesces small
+    partitions and splits skewed ones at run time.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

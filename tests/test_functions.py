@@ -76,3 +76,12 @@ def test_missing_counts_single_pass(spark):
     df = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (3, 1.0, None)], "a int, b double, c string")
     got = {r.column_name: r.missing_count for r in clean.missing_counts(df).collect()}
     assert got == {"a": 1, "b": 2, "c": 1}
+
+
+def test_recommended_conf_scales_with_input():
+    from opinio.session import recommended_conf
+
+    small = recommended_conf(10 << 20, 8)
+    big = recommended_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
