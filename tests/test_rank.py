@@ -59,3 +59,27 @@ def test_hot_identical_row_is_spread(spark):
     w = Window.orderBy(F.col("review").asc_nulls_first(), "rating")
     want = df.withColumn("rn", F.row_number().over(w))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_ranks_property_random_frames(spark):
+    """Random small frames (nulls, ties, copies): distributed ranks equal the plain windows."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])), st.integers(0, 3))
+
+    def srt(rows):
+        return sorted(rows, key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=60))
+    def check(rows):
+        df = spark.createDataFrame(rows, "k string, v int").repartition(3)
+        got = rank.row_number_global(df, ["k"], out="rn")
+        want = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first(), "v")))
+        assert srt(got.collect()) == srt(want.collect())
+        got_d = rank.dense_rank_global(df, "k", out="dr")
+        want_d = df.withColumn("dr", F.dense_rank().over(Window.orderBy(F.col("k").asc_nulls_first())))
+        assert srt(got_d.collect()) == srt(want_d.collect())
+
+    check()
