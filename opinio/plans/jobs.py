@@ -59,11 +59,15 @@ def universal_clean(raw: DataFrame) -> tuple[DataFrame, str, str]:
 
 
 def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_path: str,
-                  collections_base: str | None = None) -> dict[str, str]:
+                  collections_base: str | None = None, real_ids: bool = False) -> dict[str, str]:
     """JOB-5: clean, label, rank ids, recommend; write a new run folder; publish it last.
 
     Tables are written with ``errorifexists`` (a run is never overwritten);
-    the pointer is written after every table of the run exists.
+    the pointer is written after every table of the run exists.  By default
+    (as in the reference) every distinct review text becomes a user and every
+    product value an item, through dense ranks; ``real_ids=True`` trains on
+    the input's own ``user_id`` / ``product_id`` instead, which keeps the
+    user x item scoring proportional to real users.
     """
     cleaned, review_col, product_col = universal_clean(raw)
     written = {"cleaned_data": files.write_run_table(cleaned, run_base, "cleaned_data")}
@@ -71,7 +75,11 @@ def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_pa
     written["sentiment_results"] = files.write_run_table(labelled, run_base, "sentiment_results")
     if collections_base:
         coll.write_collection(coll.with_record_id(labelled), f"{collections_base}/sentiment_analysis")
-    ids = rank.dense_rank_ids(cleaned, review_col, product_col)
+    if real_ids:
+        ids = cleaned.withColumns({"user_id": F.col("user_id").try_cast("int"),
+                                   "product_id": F.col("product_id").try_cast("int")})
+    else:
+        ids = rank.dense_rank_ids(cleaned, review_col, product_col)
     lists = recommend.universal_recommendations(ids)
     if lists is not None:
         written["recommendations"] = files.write_run_table(lists, run_base, "recommendations")

@@ -62,6 +62,13 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def declare_table(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+    """SRC-4, catalog form: an external Parquet table over ``path``, created only if absent."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+    return spark.table(name)
+
+
 # --- writers --------------------------------------------------------------
 
 def write_csv(df: DataFrame, path: str, multiline: bool = False) -> None:

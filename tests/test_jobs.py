@@ -42,3 +42,25 @@ def test_save_batch_recommendations(spark):
     assert users.columns == ["user_id", "product_id", "predicted_rating"]
     assert items.columns == ["product_id", "user_id", "predicted_rating"]
     assert users.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 5
+
+
+def test_universal_run_with_real_ids(spark):
+    root = scratch_dir(spark, "universal-real")
+    written = jobs.universal_run(spark, queries.raw(spark, SF_SMALL), f"{root}/run_1", f"{root}/latest",
+                                 real_ids=True)
+    lists = spark.read.parquet(written["recommendations"])
+    users = queries.raw(spark, SF_SMALL).select("user_id").distinct().count()
+    assert 0 < lists.count() <= users
+
+
+def test_declared_table_created_once(spark):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from opinio.sources import files
+
+    path = scratch_dir(spark, "declared")
+    spark.range(5).selectExpr("CAST(id AS INT) AS user_id", "id * 2 AS extra").write.parquet(path)
+    schema = StructType([StructField("user_id", IntegerType())])
+    t = files.declare_table(spark, "declared_reviews_test", path, schema)
+    again = files.declare_table(spark, "declared_reviews_test", path, schema)
+    assert t.columns == ["user_id"] and again.count() == 5
