@@ -96,9 +96,22 @@ def sentiment_top_products(sentiment: DataFrame, reviews: DataFrame,
                            n: int = TOP_PRODUCTS_FOR_SENTIMENT) -> DataFrame:
     """AGG-14 / JOIN-1 (Query 6): sentiment counts of the ``n`` most reviewed products.
 
-    The top-``n`` list has at most ``n`` rows, so broadcasting it is safe; the
-    semi join then filters the large side without a shuffle.
+    The subquery result is ``n`` ids, so it is evaluated first (like a scalar
+    subquery) and applied as ``product_id IN (...)``.  Unlike a semi join,
+    that predicate travels through the whole plan down to the Parquet scan:
+    the second pass reads and de-duplicates only the rows of ``n`` products
+    instead of the whole table again.
     """
+    ids = [r["product_id"] for r in top_product_ids(reviews, n).collect()]  # at most n values
+    return (
+        _counts(sentiment.filter(F.col("product_id").isin(ids)), "product_id", "sentiment")
+        .orderBy("product_id", F.desc("count"), "sentiment")
+    )
+
+
+def sentiment_top_products_join(sentiment: DataFrame, reviews: DataFrame,
+                                n: int = TOP_PRODUCTS_FOR_SENTIMENT) -> DataFrame:
+    """The same report as one lazy plan: broadcast of the ``n``-row list + left semi join."""
     top = F.broadcast(top_product_ids(reviews, n))
     return (
         _counts(sentiment.join(top, "product_id", "left_semi"), "product_id", "sentiment")
