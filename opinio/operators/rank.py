@@ -72,14 +72,17 @@ def spread_copies(df: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
 
 
 def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | None = None,
-                      out: str = "row_number", collapse_copies: bool | None = None) -> DataFrame:
+                      out: str = "row_number", collapse_copies: bool | None = None,
+                      id_type: str = "int") -> DataFrame:
     """``df`` plus an INT column ``out`` equal to ``row_number() over (order by order, tie_break)``.
 
     ``tie_break`` defaults to every other column, which makes the order total
     up to identical rows (whose numbers are interchangeable); the result is
     then deterministic.  ``collapse_copies`` (default: when the order covers
     every column) folds identical rows first, see :func:`spread_copies`; pass
-    False when the rows are known to be distinct.
+    False when the rows are known to be distinct.  ``id_type`` is INT like
+    Spark's ``row_number``; past 2,147,483,647 rows pass ``"bigint"`` (under
+    ANSI mode an INT overflow raises instead of wrapping).
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in order]
@@ -97,7 +100,7 @@ def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | No
          - F.col("_cnt")).alias("_off"),
     )
     ranked = tagged.join(F.broadcast(offsets), F.shiftright(tagged["_mid"], _POS_BITS) == offsets["_pid"])
-    number = (ranked["_off"] + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + 1).cast("int")
+    number = (ranked["_off"] + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + 1).cast(id_type)
     return ranked.select(*[q(c) for c in df.columns], number.alias(out))
 
 
