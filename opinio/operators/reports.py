@@ -42,7 +42,7 @@ def _counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
-# --- Hive report pack (JOB-6) ------------------------------------------------
+# --- SQL report pack (JOB-6) -------------------------------------------------
 
 def sentiment_distribution(sentiment: DataFrame) -> DataFrame:
     """AGG-11 (Query 1): sentiment, count, percentage; largest first."""
