@@ -71,6 +71,14 @@ def spread_copies(df: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
     return few.unionByName(many).drop("_n")
 
 
+def tagged_positions(df: DataFrame, order: list[str], tie_break: list[str], collapse_copies: bool) -> DataFrame:
+    """Steps 1-2: range-partitioned, sorted, tagged with ``_mid`` and written to the shared folder."""
+    source = spread_copies(df) if collapse_copies else df
+    keys = _sort_keys(order, tie_break + (["_copy"] if collapse_copies else []))
+    ranged = source.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "rank")
+
+
 def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | None = None,
                       out: str = "row_number", collapse_copies: bool | None = None,
                       id_type: str = "int") -> DataFrame:
@@ -88,10 +96,7 @@ def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | No
         tie_break = [c for c in df.columns if c not in order]
     if collapse_copies is None:
         collapse_copies = set(df.columns) <= set(order) | set(tie_break)
-    source = spread_copies(df) if collapse_copies else df
-    keys = _sort_keys(order, tie_break + (["_copy"] if collapse_copies else []))
-    ranged = source.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "rank")
+    tagged = tagged_positions(df, order, tie_break, collapse_copies)
     counts = tagged.groupBy(F.shiftright("_mid", _POS_BITS).alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: the window below sees a bounded, tiny frame
     offsets = counts.select(

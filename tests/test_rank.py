@@ -83,3 +83,32 @@ def test_ranks_property_random_frames(spark):
         assert srt(got_d.collect()) == srt(want_d.collect())
 
     check()
+
+
+def test_hot_key_is_split_across_range_partitions(spark):
+    """A review text holding a third of the rows does not land in one partition."""
+    n = 30000
+    # at this size AQE would coalesce everything into one task; measure the ranges themselves
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _check_hot_split(spark, n)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _check_hot_split(spark, n):
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+        .alias("review"),
+        (F.col("id") % 5).cast("int").alias("rating"),
+        F.col("id").alias("row"))
+    tagged = rank.tagged_positions(df, ["review"], ["rating", "row"], collapse_copies=False)
+    sizes = [r["count"] for r in tagged.groupBy(F.shiftright("_mid", 33)).count().collect()]
+    assert sum(sizes) == n and len(sizes) > 2
+    assert max(sizes) < n / 3  # the hot third is spread, not parked in one task
+    # identical hot rows (no distinguishing column) are spread the same way after folding
+    same = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+        F.col("id").cast("string")).alias("review"))
+    tagged2 = rank.tagged_positions(same, ["review"], [], collapse_copies=True)
+    sizes2 = [r["count"] for r in tagged2.groupBy(F.shiftright("_mid", 33)).count().collect()]
+    assert sum(sizes2) == n and max(sizes2) < n / 3
