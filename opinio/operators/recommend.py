@@ -107,6 +107,14 @@ def user_recommendations(fitted: Fitted, n: int = LIST_LENGTH) -> DataFrame:
     return explode_user_lists(nested_user_lists(fitted, n))
 
 
+def recommendations_for(fitted: Fitted, users: DataFrame, n: int = LIST_LENGTH) -> DataFrame:
+    """Flat top-``n`` lists for the users in ``users`` only (``recommendForUserSubset``).
+
+    Scores only the listed users against every item, instead of all users.
+    """
+    return explode_user_lists(fitted.model.recommendForUserSubset(users.select("user_id").distinct(), n))
+
+
 def top_users_per_product(fitted: Fitted, n: int = LIST_LENGTH) -> DataFrame:
     """ML-5: for each product the ``n`` users with the highest predicted rating."""
     return explode_item_lists(fitted.model.recommendForAllItems(n))

@@ -59,3 +59,17 @@ def test_batch_job_outputs(spark):
     assert out.rmse.first()["rmse"] >= 0
     assert out.top_recommended.count() <= 10
     assert out.product_recs.groupBy("product_id").count().filter("count > 5").count() == 0
+
+
+def test_subset_lists_equal_full_lists(spark):
+    triples = recommend.rating_triples(queries.cleaned(spark, SF_SMALL))
+    train, _ = recommend.split(triples)
+    fitted = recommend.train(train)
+    some = train.select("user_id").distinct().orderBy("user_id").limit(5)
+    sub = recommend.recommendations_for(fitted, some)
+    full = recommend.user_recommendations(fitted).join(some, "user_id", "left_semi")
+    key = lambda r: (r.user_id, r.product_id)
+    a = sorted(sub.collect(), key=key)
+    b = sorted(full.collect(), key=key)
+    assert [key(r) for r in a] == [key(r) for r in b]
+    assert np.allclose([r.predicted_rating for r in a], [r.predicted_rating for r in b], atol=1e-5)
