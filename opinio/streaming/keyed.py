@@ -1,20 +1,29 @@
 """Keyed-table state kept current from a streaming mutation log.
 
-Every micro-batch (``foreachBatch``) computes the next state version as
-``apply_log(previous state as puts + batch)``: ``seq`` grows across batches,
-so a later delete always wins over the cells already in the state.  Versions
-are written to new folders (``v<batch_id>``) and a one-row pointer is written
-last; a batch id at or below the published version is skipped, so a replayed
-batch after a failure changes nothing.  The stream's own checkpoint and the
-versions live under the shared folder the caller passes.
-
-Each batch rewrites the state it folds into; with a large state and small
-batches, shard the state by ``row_key`` upstream (one stream per shard).
+The state is split into ``buckets`` by a hash of ``row_key``; every row's
+cells live in exactly one bucket.  Each micro-batch (``foreachBatch``):
+
+1. finds the buckets its mutations touch (at most ``buckets`` small ints);
+2. reads the current files of those buckets only;
+3. computes their next state as ``apply_log(previous cells as puts + batch)``
+   (``seq`` grows across batches, so a later delete always wins over a cell
+   already in the state);
+4. writes the new cells to a new version folder ``v<batch_id>``,
+   partitioned by bucket;
+5. writes the pointer last.  The pointer is a table with one row per
+   non-empty bucket, naming the folder that holds its current cells.
+
+Untouched buckets are carried over by reference, so a batch costs the size of
+the buckets it touches, not the whole table.  A batch id at or below the
+published version is skipped, which makes a replay after a failure a no-op.
+Versions and the stream checkpoint live under the shared folder the caller
+passes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -23,42 +32,83 @@ from opinio.operators import keyed
 
 LOG_SCHEMA = "seq long, op string, row_key string, family string, qualifier string, value string"
 STATE_SCHEMA = "row_key string, family string, qualifier string, value string, seq long"
-POINTER_SCHEMA = "version long, path string"
+POINTER_SCHEMA = "bucket int, path string, version long"
+LOG_COLUMNS = ["seq", "op", "row_key", "family", "qualifier", "value"]
+DEFAULT_BUCKETS = 64
 
 
-def _pointer(spark: SparkSession, root: str):
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("row_key"), F.lit(buckets)).cast("int")
+
+
+def _pointer(spark: SparkSession, root: str) -> list:
+    """The pointer rows (one per non-empty bucket, at most ``buckets``)."""
     try:
-        rows = spark.read.schema(POINTER_SCHEMA).json(f"{root}/_current").take(1)
+        return spark.read.schema(POINTER_SCHEMA).json(f"{root}/_current").collect()
     except AnalysisException:
-        return None
-    return rows[0] if rows else None
+        return []
+
+
+def published_version(spark: SparkSession, root: str) -> int:
+    rows = _pointer(spark, root)
+    return max((r["version"] for r in rows), default=-1)
+
+
+def _read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
+
+
+def current_paths(spark: SparkSession, root: str) -> dict[int, str]:
+    """``bucket -> folder`` of the current state (non-empty buckets only)."""
+    return {r["bucket"]: r["path"] for r in _pointer(spark, root) if r["bucket"] >= 0}
 
 
 def current_state(spark: SparkSession, root: str) -> DataFrame:
     """The latest published state (``row_key, family, qualifier, value, seq``); empty before the first batch."""
-    p = _pointer(spark, root)
-    if p is None:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.parquet(p["path"])
+    return _read_paths(spark, sorted(set(current_paths(spark, root).values())))
 
 
-def fold_batch(batch: DataFrame, batch_id: int, root: str) -> None:
+def fold_batch(batch: DataFrame, batch_id: int, root: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Apply one micro-batch of mutations to the state under ``root``."""
     spark = batch.sparkSession
-    p = _pointer(spark, root)
-    if p is not None and p["version"] >= batch_id:
+    pointer = _pointer(spark, root)
+    version = max((r["version"] for r in pointer), default=-1)
+    if version >= batch_id:
         return  # already applied (replay after a failure)
-    previous = current_state(spark, root)
-    log = keyed.state_as_log(previous).unionByName(batch.select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")]))
+    # the batch is read twice (touched buckets, then the fold): keep it cached for this batch
+    log = batch.select(*LOG_COLUMNS).withColumn("bucket", _bucket(buckets)).persist()
+    try:
+        _fold(spark, log, pointer, batch_id, root, buckets)
+    finally:
+        log.unpersist()
+
+
+def _fold(spark: SparkSession, log: DataFrame, pointer: list, batch_id: int, root: str, buckets: int) -> None:
+    touched = {r[0] for r in log.select("bucket").distinct().collect()}  # at most `buckets` ints
+    if not touched:
+        return
+    current = {r["bucket"]: r["path"] for r in pointer if r["bucket"] >= 0}
+    previous = _read_paths(spark, [current[b] for b in sorted(touched) if b in current])
+    merged = keyed.state_as_log(previous).unionByName(log.drop("bucket"))
     path = f"{root}/v{batch_id}"
-    keyed.apply_log(log, with_seq=True).write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(batch_id, path)], POINTER_SCHEMA).coalesce(1).write.mode("overwrite").json(
-        f"{root}/_current")
+    (keyed.apply_log(merged, with_seq=True).withColumn("bucket", _bucket(buckets))
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+    try:
+        written = {r[0] for r in spark.read.parquet(path).select("bucket").distinct().collect()}
+    except AnalysisException:  # every touched cell was deleted
+        written = set()
+    rows = [(b, p, batch_id) for b, p in current.items() if b not in touched]
+    rows += [(b, f"{path}/bucket={b}", batch_id) for b in sorted(written)]
+    rows.append((-1, None, batch_id))  # keeps the version even when every bucket is empty
+    spark.createDataFrame(rows, POINTER_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{root}/_current")
 
 
-def start(log_stream: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def start(log_stream: DataFrame, root: str, checkpoint: str, available_now: bool = False,
+          buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
     """Start folding ``log_stream`` (schema :data:`LOG_SCHEMA`) into the state under ``root``."""
-    writer = (log_stream.writeStream.foreachBatch(lambda df, i: fold_batch(df, i, root))
+    writer = (log_stream.writeStream.foreachBatch(lambda df, i: fold_batch(df, i, root, buckets))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

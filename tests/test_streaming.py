@@ -6,6 +6,8 @@ from opinio.session import scratch_dir
 from opinio.streaming import keyed as skeyed
 from tests.conftest import SF_SMALL
 
+SCHEMA = "seq long, op string, row_key string, family string, qualifier string, value string"
+
 
 def test_stream_equals_batch_replay(spark):
     log = fixtures.fixture(spark, SF_SMALL, "cell_log")
@@ -18,12 +20,35 @@ def test_stream_equals_batch_replay(spark):
         p.coalesce(1).write.parquet(f"{incoming}/drop={i}")
     root = scratch_dir(spark, "state")
     q = skeyed.start(skeyed.log_source(spark, incoming, max_files_per_trigger=1), root,
-                     scratch_dir(spark, "stream-ckpt"), available_now=True)
+                     scratch_dir(spark, "stream-ckpt"), available_now=True, buckets=8)
     q.awaitTermination(300)
     got = skeyed.current_state(spark, root).drop("seq")
     want = keyed.apply_log(log)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     # replaying an applied batch changes nothing
     before = sorted(map(tuple, skeyed.current_state(spark, root).collect()))
-    skeyed.fold_batch(parts[0], 0, root)
+    skeyed.fold_batch(parts[0], 0, root, buckets=8)
     assert sorted(map(tuple, skeyed.current_state(spark, root).collect())) == before
+
+
+def test_untouched_buckets_are_not_rewritten(spark):
+    root = scratch_dir(spark, "state-buckets")
+    first = spark.createDataFrame([(i, "put", f"r{i}", "info", "name", f"v{i}") for i in range(40)], SCHEMA)
+    skeyed.fold_batch(first, 0, root, buckets=8)
+    before = skeyed.current_paths(spark, root)
+    update = spark.createDataFrame([(100, "put", "r1", "info", "name", "new"), (101, "delete_row", "r2", "info", None, None)],
+                                   SCHEMA)
+    skeyed.fold_batch(update, 1, root, buckets=8)
+    after = skeyed.current_paths(spark, root)
+    changed = {b for b in after if after[b] != before.get(b)} | (set(before) - set(after))
+    assert 1 <= len(changed) <= 2  # only the buckets of r1 and r2
+    state = {r.row_key: r.value for r in skeyed.current_state(spark, root).collect()}
+    assert state["r1"] == "new" and "r2" not in state and len(state) == 39
+
+
+def test_all_cells_deleted_keeps_version(spark):
+    root = scratch_dir(spark, "state-empty")
+    skeyed.fold_batch(spark.createDataFrame([(1, "put", "a", "f", "q", "x")], SCHEMA), 0, root, buckets=4)
+    skeyed.fold_batch(spark.createDataFrame([(2, "delete_row", "a", "f", None, None)], SCHEMA), 1, root, buckets=4)
+    assert skeyed.current_state(spark, root).count() == 0
+    assert skeyed.published_version(spark, root) == 1
