@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -128,7 +126,3 @@ def read_run_table(spark: SparkSession, pointer_path: str, name: str) -> DataFra
         return spark.read.parquet(f"{base}/{name}")
     except AnalysisException:
         return None
-
-
-def pointer_payload(run_base: str) -> str:
-    return json.dumps({POINTER_FIELD: run_base})

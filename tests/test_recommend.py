@@ -73,3 +73,15 @@ def test_subset_lists_equal_full_lists(spark):
     b = sorted(full.collect(), key=key)
     assert [key(r) for r in a] == [key(r) for r in b]
     assert np.allclose([r.predicted_rating for r in a], [r.predicted_rating for r in b], atol=1e-5)
+
+
+def test_split_counts_and_distinct_counts(spark):
+    from opinio.operators import reports
+
+    triples = recommend.rating_triples(queries.cleaned(spark, SF_SMALL))
+    train, test = recommend.split(triples)
+    counts = {r.part: r.records for r in recommend.split_counts(train, test).collect()}
+    assert counts["train"] + counts["test"] == triples.count() and counts["train"] > counts["test"]
+    exact = reports.distinct_counts(triples).first()
+    approx = reports.approx_distinct_counts(triples).first()
+    assert abs(approx.distinct_users - exact.distinct_users) <= 0.05 * exact.distinct_users + 1
