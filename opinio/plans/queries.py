@@ -411,6 +411,13 @@ def q_sentiment_top_products(spark, sf):
     return reports.sentiment_top_products(sent.sentiment_table(c), c)
 
 
+@register("sentiment_top_products_semi_join", "JOIN-1 (one plan: broadcast left semi join)",
+          REGISTRY["sentiment_top_products"].sql)
+def q_sentiment_top_products_semi_join(spark, sf):
+    c = cleaned(spark, sf)
+    return reports.sentiment_top_products_join(sent.sentiment_table(c), c)
+
+
 @register("avg_predicted_by_user", "AGG-15", with_ctes("""
 SELECT user_id, avg(predicted_rating) AS avg_predicted_rating FROM recs_flat GROUP BY user_id""", "recs_flat"))
 def q_avg_predicted_by_user(spark, sf):
