@@ -112,3 +112,33 @@ def _check_hot_split(spark, n):
     tagged2 = rank.tagged_positions(same, ["review"], [], collapse_copies=True)
     sizes2 = [r["count"] for r in tagged2.groupBy(F.shiftright("_mid", 33)).count().collect()]
     assert sum(sizes2) == n and max(sizes2) < n / 3
+
+
+def test_dense_rank_join_back_splits_a_hot_key(spark):
+    """With the rank table too big to broadcast, AQE splits the hot key's join partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+            .otherwise(F.concat(F.lit("t"), (F.col("id") % 5000).cast("string"))).alias("review"),
+            F.col("id"))
+        got = rank.dense_rank_global(df, "review", out="dr")
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        want = df.withColumn("dr", F.dense_rank().over(Window.orderBy("review")))
+        assert sorted(rows) == sorted(want.collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
