@@ -120,8 +120,14 @@ def remove_outliers(df: DataFrame, column: str = "review_clean", max_length: int
     return df.filter(F.length(q(column)) <= max_length)
 
 
-def select_final_columns(df: DataFrame) -> DataFrame:
-    """Final review columns; surrogate ids when the input has no user/product ids."""
+def select_final_columns(df: DataFrame, distinct_rows: bool = False) -> DataFrame:
+    """Final review columns; surrogate ids when the input has no user/product ids.
+
+    ``distinct_rows`` tells the id generator that no two input rows are
+    identical (true inside :func:`clean_reviews`, which de-duplicates and
+    keeps the original rating alongside the truncated one), so identical rows
+    need not be folded first, which saves a shuffle of the whole table.
+    """
     if "user_id" in df.columns and "product_id" in df.columns:
         return df.select(*[q(c) for c in FINAL_COLUMNS])
     from opinio.operators.rank import surrogate_ids
@@ -131,20 +137,29 @@ def select_final_columns(df: DataFrame) -> DataFrame:
     # review; ties broken by the output columns first and then by every other
     # column, so the order is total on de-duplicated input and a frequent
     # review text can still be split across range partitions.
-    df = df.drop(*[c for c in df.columns if c.lower() in ("user_id", "product_id")])
+    dropped = [c for c in df.columns if c.lower() in ("user_id", "product_id")]
+    df = df.drop(*dropped)
     rest = [c for c in df.columns if c not in ("review", "rating", "review_clean")]
-    return surrogate_ids(df, tie_break=["rating", "review_clean", *rest]).select(*FINAL_COLUMNS)
+    collapse = None if not (distinct_rows and not dropped) else False
+    return surrogate_ids(df, tie_break=["rating", "review_clean", *rest],
+                         collapse_copies=collapse).select(*FINAL_COLUMNS)
 
 
 def clean_reviews(df: DataFrame) -> DataFrame:
-    """JOB-1: the batch cleaner as one lazy plan (de-duplicate, then row filters)."""
+    """JOB-1: the batch cleaner as one lazy plan (de-duplicate, then row filters).
+
+    The input rating is carried (as ``_rating_in``) next to its truncated
+    form until the final projection, so rows stay distinct after the
+    de-duplication; the id generator then needs no copy folding.
+    """
     return (
         df.transform(remove_duplicates)
         .transform(lambda d: drop_missing(d, ["review", "rating"]))
         .transform(clean_text)
+        .withColumn("_rating_in", q("rating"))
         .transform(validate_ratings)
         .transform(remove_outliers)
-        .transform(select_final_columns)
+        .transform(lambda d: select_final_columns(d, distinct_rows=True))
     )
 
 

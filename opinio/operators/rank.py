@@ -144,9 +144,10 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "dense_rank") -> DataF
     return with_ranks(df, [(key, out)])
 
 
-def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | None = None) -> DataFrame:
+def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | None = None,
+                  collapse_copies: bool | None = None) -> DataFrame:
     """WIN-1/WIN-2: ``user_id`` = global row number by ``order``; ``product_id`` = user_id % 1000."""
-    numbered = row_number_global(df, [order], tie_break=tie_break, out="user_id")
+    numbered = row_number_global(df, [order], tie_break=tie_break, out="user_id", collapse_copies=collapse_copies)
     return numbered.withColumn("product_id", (F.col("user_id") % SURROGATE_PRODUCT_MODULUS).cast("int"))
 
 
