@@ -71,6 +71,9 @@ def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_pa
     """
     cleaned, review_col, product_col = universal_clean(raw)
     written = {"cleaned_data": files.write_run_table(cleaned, run_base, "cleaned_data")}
+    # later steps read the table just written instead of re-reading and
+    # re-cleaning the (unsplittable, multi-line) CSV
+    cleaned = spark.read.parquet(written["cleaned_data"])
     labelled = sent.universal_sentiment(cleaned)
     written["sentiment_results"] = files.write_run_table(labelled, run_base, "sentiment_results")
     if collections_base:
