@@ -94,7 +94,12 @@ def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_pa
 
 
 def report_pack(cleaned: DataFrame, sentiment: DataFrame) -> dict[str, DataFrame]:
-    """JOB-6: the six SQL reports."""
+    """JOB-6: the six SQL reports.
+
+    Pass frames read from the written tables (``files.read_parquet`` /
+    ``files.declare_table``), as the SQL pack reads its tables: each report
+    is a separate job, and a lazy upstream would be recomputed by each.
+    """
     return {
         "sentiment_distribution": reports.sentiment_distribution(sentiment),
         "rating_stats_by_sentiment": reports.rating_stats_by_sentiment(sentiment),
