@@ -63,6 +63,19 @@ def get_row(state: DataFrame, row_key: str) -> DataFrame:
     return state.filter(F.col("row_key") == row_key).select("family", "qualifier", "value")
 
 
+def get_row_map(state: DataFrame, row_key: str) -> DataFrame:
+    """KV-2, row view: ``row_key, cells`` with ``cells`` a map ``'family:qualifier' -> value``.
+
+    One output row holding the cells of the requested row, which is what a
+    single-row read returns.  For bulk access use the long form
+    (:func:`get_row`, :func:`scan`): a map per row would gather a wide row
+    into one task.
+    """
+    one = state.filter(F.col("row_key") == row_key)
+    entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("k"), F.col("value").alias("v"))
+    return one.groupBy("row_key").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("cells"))
+
+
 def scan(state: DataFrame) -> DataFrame:
     """SRC-7: every live cell in row-key order."""
     return state.orderBy(*CELL_KEY)

@@ -40,3 +40,11 @@ def test_latest_cells_ignores_deletes(spark):
     log = spark.createDataFrame(LOG, SCHEMA)
     got = {(r.row_key, r.qualifier): (r.value, r.seq) for r in keyed.latest_cells(log).collect()}
     assert got[("101", "age")] == ("22", 7) and got[("102", "name")] == ("Priya", 4)
+
+
+def test_row_map_view(spark):
+    log = spark.createDataFrame(LOG[:7], SCHEMA)
+    got = keyed.get_row_map(keyed.apply_log(log), "101").collect()
+    assert len(got) == 1
+    assert got[0].cells == {"info:age": "22", "info:course": "BCA", "info:name": "Rahul"}
+    assert keyed.get_row_map(keyed.apply_log(log), "nope").count() == 0
