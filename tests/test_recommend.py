@@ -85,3 +85,18 @@ def test_split_counts_and_distinct_counts(spark):
     exact = reports.distinct_counts(triples).first()
     approx = reports.approx_distinct_counts(triples).first()
     assert abs(approx.distinct_users - exact.distinct_users) <= 0.05 * exact.distinct_users + 1
+
+
+def test_size_gate_min_max_equals_distinct(spark):
+    cases = [
+        [(1, 1, 4.0), (1, 2, 3.0)],               # one user
+        [(1, 1, 4.0), (2, 1, 3.0)],               # one item
+        [(1, 1, 4.0), (2, 2, 3.0)],               # enough
+    ]
+    for rows in cases:
+        df = spark.createDataFrame(rows, "user_id int, product_id int, rating float")
+        exact = df.agg(F.countDistinct("user_id"), F.countDistinct("product_id")).first()
+        assert recommend.has_enough_variety(df) == (exact[0] >= 2 and exact[1] >= 2)
+        assert recommend.has_enough_variety(df, 3) is False
+    empty = spark.createDataFrame([], "user_id int, product_id int, rating float")
+    assert recommend.has_enough_variety(empty) is False
