@@ -29,10 +29,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 # --- readers --------------------------------------------------------------
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """SRC-1: header CSV; types inferred unless ``schema`` is given (saves a pass)."""
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+             sampling_ratio: float | None = None) -> DataFrame:
+    """SRC-1: header CSV; types inferred unless ``schema`` is given.
+
+    Inference is a full extra pass over the files; at scale pass ``schema``,
+    or a ``sampling_ratio`` to infer from a fraction of the rows (a rare
+    value outside the sample can then fail to parse as the inferred type).
+    """
     reader = spark.read.option("header", "true")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    else:
+        reader = reader.option("inferSchema", "true")
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", str(sampling_ratio))
     return reader.csv(path)
 
 
