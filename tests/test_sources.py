@@ -85,3 +85,14 @@ def test_final_columns_regenerates_both_ids(spark):
     out = clean.select_final_columns(df)
     assert out.columns == list(clean.FINAL_COLUMNS)
     assert sorted((r.user_id, r.product_id, r.review) for r in out.collect()) == [(1, 1, "bad  one"), (2, 2, "good one")]
+
+
+def test_hand_written_multiline_csv(spark, tmp_path):
+    text = 'id,review,rating\n1,"He said ""great""\nthen left",5\n2,plain,3\n'
+    f = tmp_path / "reviews.csv"
+    f.write_text(text)
+    back = files.read_csv_multiline(spark, str(f)).orderBy("id").collect()
+    assert len(back) == 2
+    assert back[0].review == 'He said "great"\nthen left' and back[0].rating == 5
+    # with default options the quoted newline splits the record
+    assert files.read_csv(spark, str(f)).count() == 3
