@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from opinio.llm import simhash
+from opinio.llm import bpe, simhash
 
 QUERIES = {
+    "op8_word_bpe_round_trip": bpe.op8,
     "op7_simhash_near_duplicates": simhash.op7,
 }
 
