@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from opinio.llm.common import quoted, ship
 
 # Unicode white space, the word pattern of the vocabulary, its word end.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 # Words of more parts than this are merged with a heap.

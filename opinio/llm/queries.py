@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, simhash
+from opinio.llm import bpe, simhash, token_files
 
 QUERIES = {
     "op8_word_bpe_round_trip": bpe.op8,
+    "op10_token_files": token_files.op10,
     "op7_simhash_near_duplicates": simhash.op7,
 }
 
