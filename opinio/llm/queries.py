@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, simhash, token_files
+from opinio.llm import bpe, lattice, mixing, simhash, token_files
 
 QUERIES = {
+    "op4_fair_queue_mix": mixing.op4,
+    "op5_subword_lattice": lattice.op5,
     "op8_word_bpe_round_trip": bpe.op8,
     "op10_token_files": token_files.op10,
     "op7_simhash_near_duplicates": simhash.op7,
