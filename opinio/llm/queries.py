@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, mixing, simhash, token_files
+from opinio.llm import bpe, importance, lattice, mixing, simhash, token_files, va_file
 
 QUERIES = {
+    "op1_va_file_top_k": va_file.op1,
     "op3_importance_resampling": importance.op3,
     "op4_fair_queue_mix": mixing.op4,
     "op5_subword_lattice": lattice.op5,
