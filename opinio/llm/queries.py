@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, mixing, simhash, token_files, va_file
+from opinio.llm import bpe, importance, lattice, learned_partitions, mixing, simhash, token_files, va_file
 
 QUERIES = {
     "op1_va_file_top_k": va_file.op1,
+    "op2_learned_partitions": learned_partitions.op2,
     "op3_importance_resampling": importance.op3,
     "op4_fair_queue_mix": mixing.op4,
     "op5_subword_lattice": lattice.op5,
