@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, mixing, simhash, token_files, va_file
+from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, mixing, simhash, token_files, va_file, wrappers
 
 QUERIES = {
     "op1_va_file_top_k": va_file.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_word_bpe_round_trip": bpe.op8,
     "op9_link_trust": link_trust.op9,
     "op10_token_files": token_files.op10,
+    "op6_host_wrappers": wrappers.op6,
     "op7_simhash_near_duplicates": simhash.op7,
 }
 
