@@ -15,7 +15,7 @@ slot; one that is the same on every page stays a constant.  ``pattern`` prints i
 the article: inside ``article`` or ``main`` if the page has one, else inside the
 wrapper's part whose slots hold most of the text.  Menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments are left out by element,
-role and class, and outside an article so are constants of the wrapper, as the template.
+role and class (but for a header inside the article), and outside an article so are constants of the wrapper, as the template.
 
 Each wrapper is inferred from at most ``SAMPLE`` different pages of the host, taken by
 hash (those up to ``USUAL`` characters first); extraction covers every page
@@ -60,7 +60,7 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
 # Elements, roles and words of class or id that mark what is no article.
-ASIDE_TAGS = frozenset("head nav footer aside form button select dialog menu".split())
+ASIDE_TAGS = frozenset("head header nav footer aside form button select dialog menu".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion promoted "
@@ -326,7 +326,7 @@ def extract(page: str | None, wrapper: Wrapper | None) -> str:
         ahead = along.kids if along is not None else []
         at = 0
         for kid in node.kids:
-            if kid.aside and not (inside and kid.tag == "header"):
+            if kid.aside and not (inside and within and kid.tag == "header"):
                 continue
             # the wrapper's token for this one: the same again if repeated, else the next of its kind
             twin = None
