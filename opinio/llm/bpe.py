@@ -116,8 +116,18 @@ class WordBpe(dict):
         self.cutter = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.words = regex.compile(WORDS)
         names = {i: t for t, i in (vocab | special).items()}
+        self.path, self.splitter = path, None
+        self.letter_bytes = {x: b for b, x in enumerate(letters)}
         self.names = [names.get(i, "").encode() for i in range(max(names) + 1)]
-        self.word_ids: dict[bytes, bytes] = {}
+
+    def unassigned(self, piece: str) -> list[bytes]:
+        """The words of a piece with code points that Python's Unicode tables do not have: split by the library's tables."""
+        if self.splitter is None:
+            from tokenizers import Tokenizer
+
+            self.splitter = Tokenizer.from_file(self.path)
+        found = self.splitter.pre_tokenizer.pre_tokenize_str(self.splitter.normalizer.normalize_str(piece))
+        return [bytes(self.letter_bytes[x] for x in w) for w, _ in found]
 
     def word(self, word: bytes) -> list[int]:
         parts = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
@@ -130,6 +140,10 @@ class WordBpe(dict):
                 out.append(self.special[piece])
             elif piece:
                 if not piece.isascii():
+                    if any(unicodedata.category(c) == "Cn" for c in piece):
+                        for w in self.unassigned(piece):
+                            out += self.word(w)
+                        continue
                     piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
                 for w in self.words.findall(piece.lower()):
                     out += self.word(w.encode("utf-8"))
