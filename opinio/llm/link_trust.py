@@ -39,8 +39,8 @@ RULES = [
 DAMPING = 0.85
 TOLERANCE = 1e-6
 ROUNDS = 50
-# Half of what a host gets if a rule blocks all of its pages.
-MARGIN = (1 - DAMPING) / 2
+# A third of what a host gets if a rule blocks all of its pages.
+MARGIN = (1 - DAMPING) / 3
 _URL = "(?s)^.*?://([^/?#]*)([^?#]*)"
 _ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^\s"'>]+)"""
 
