@@ -5,7 +5,7 @@ end id, and stores the ids as unsigned 16-bit integers (32-bit if the
 vocabulary needs it), little-endian, one zstandard frame per document, in
 ascending order of doc_id (nulls last; rows of one id in no special order).  The
 dictionary is trained on the ids of a bounded sample (``SAMPLE_DOCS``
-documents of smallest hash, at most ``SAMPLE_CHARS`` leading characters of
+documents whose ids have the smallest hashes, at most ``SAMPLE_CHARS`` leading characters of
 each; it only shapes the compression, every text is stored whole).
 
 Layout under ``path``, all Parquet, so that any store Spark writes to will do:
@@ -30,9 +30,11 @@ the two named are not read.  No document is cut.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 from operator import or_
@@ -44,7 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opinio.llm.common import quoted, ship, width
+from opinio.llm.bpe import byte_letters
+from opinio.llm.common import quoted, ship, texts_of, width
 from opinio.session import scratch_dir
 
 MAGIC = b"TOKZ0001"
@@ -53,62 +56,54 @@ SAMPLE_DOCS = 512
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
-# Chunks kept in a worker's table before it is emptied, and documents encoded at a time.
-TABLE = 400_000
-ROWS = 1024
+# Runs without white space from which a text goes to the tokenizers library.
+LONG_RUN = 500
+# Fixed value: how the vocabulary's file splits a text.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), *((x, pa.int64()) for x in ("inside", "first_id", "last_id", "n_docs", "n_ids")), ("data", pa.binary())])
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 _HEAD = struct.Struct("<8s16sI")
-# White space beside white space: only there does a chunk's split depend on its neighbour.
-_DOUBLE = re.compile(r"\s\s")
-_CHUNKS = re.compile(r"\s+(?=\s\S)| ?\S+|\s+")
 
 
-class Encoder(dict):
-    """A tokenizer file; as a dict, ids (unsigned 32-bit little-endian) of chunks of text met before.
+class Encoder:
+    """A tokenizer file's ids of a text, unsigned 32-bit little-endian, as the tokenizers library gives them.
 
-    The file's split never crosses from a word into white space but for one
-    leading space, so a text is encoded space by space.  Where white space
-    doubles, a run of it up to its last sign is a chunk of its own.  Texts with a
-    special string of the vocabulary, or with a control sign that Python alone
-    takes for white space, go to the library whole.
+    The vocabulary is read from that file into tiktoken, which makes the same
+    merges several times faster.  Texts with a special string, with code
+    points that Python's Unicode tables lack (the two libraries differ in theirs),
+    or with a run of more than ``LONG_RUN`` signs go to the tokenizers library, and
+    so does everything if the file's merges are not in the order of their ids.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, special)]))
-
-    def learn(self, chunks: set[str]) -> None:
-        new = list(chunks.difference(self))
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[c] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self) > TABLE:
-            self.clear()
-        split = []
-        need: set[str] = set()
-        for t in texts:
-            if not t:
-                chunks = []
-            elif self.whole.search(t):
-                chunks = [t]
-            elif _DOUBLE.search(t):
-                chunks = _CHUNKS.findall(t)
-            else:
-                first, *rest = t.split(" ")
-                chunks = [first, *[" " + x for x in rest]]
-            need.update(chunks)
-            split.append(chunks)
-        self.learn(need)
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([*special, rf"\S{{{LONG_RUN}}}"]))
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab = model["vocab"]
+        made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+        self.fast = None
+        if made == list(range(len(vocab) - len(made), len(vocab))):
+            letters = {x: b for b, x in enumerate(byte_letters())}
+            ranks = {bytes(letters[x] for x in t): i for t, i in vocab.items()}
+            self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        rare = not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text))
+        if rare or self.fast is None or self.whole.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -118,9 +113,12 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str, end: int, dtype: str) -> bytes:
     """A zstandard dictionary over the sample's serialized ids; empty if the sample is too small for one."""
-    pick = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).filter(F.length("text") > 0)
-    texts = [r.text for r in pick.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).collect()]
-    samples = [np.append(np.frombuffer(i, "<u4"), end).astype(dtype).tobytes() for i in encoder(path).encode(texts)]
+    h = F.xxhash64("id")
+    # ids alone first, so that few texts travel
+    last = docs.select(h.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    pick = docs.filter(h <= last).select(h.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    texts = [r.text for r in pick.orderBy("h", "text").limit(SAMPLE_DOCS).collect()] if last is not None else []
+    samples = [np.append(np.frombuffer(encoder(path).encode(t), "<u4"), end).astype(dtype).tobytes() for t in texts]
     if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
         return b""
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -173,19 +171,18 @@ def write(docs: DataFrame, out: str, path: str, id_col: str = "doc_id", text_col
             row = [part, number, inside, ids[0], ids[-1], len(ids), sum(counts), pack(ids, counts, frames, mark)]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, BLOCKS)], schema=BLOCKS)
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
-                for i, e in zip(b.column(0).to_pylist(), encoder(path).encode(b.column(1).to_pylist())):
-                    all_ids = np.append(np.frombuffer(e, "<u4"), end).astype(dtype)
-                    ids.append(i)
-                    counts.append(len(all_ids))
-                    frames.append(zip_one(all_ids.tobytes()))
-                    held += len(frames[-1]) + 21
-                    if held >= BLOCK:
-                        yield block()
-                        number, held, inside = number + 1, 0, inside + sum(counts)
-                        ids, counts, frames = [], [], []
+        encode = encoder(path).encode
+        for b in batches:
+            for i, text in zip(b.column(0), texts_of(b.column(1))):
+                all_ids = np.append(np.frombuffer(encode(text), "<u4"), end).astype(dtype)
+                ids.append(i.as_py())
+                counts.append(len(all_ids))
+                frames.append(zip_one(all_ids.tobytes()))
+                held += len(frames[-1]) + 21
+                if held >= BLOCK:
+                    yield block()
+                    number, held, inside = number + 1, 0, inside + sum(counts)
+                    ids, counts, frames = [], [], []
         if ids:
             yield block()
 
