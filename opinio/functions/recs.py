@@ -10,7 +10,6 @@ from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, St
 MISSING_ID_TEXT = "N/A"
 MISSING_LIST_TEXT = "[]"
 PREVIEW_ENTRIES = 3
-BAD_JSON_PREFIX = 80
 
 ITEM_LIST_TYPE = ArrayType(
     StructType([StructField("product_id", IntegerType()), StructField("rating", FloatType())])
@@ -23,10 +22,10 @@ def list_to_json(c: Column) -> Column:
 
 
 def json_head(text: Column, n: int = PREVIEW_ENTRIES, schema: ArrayType = ITEM_LIST_TYPE) -> Column:
-    """First ``n`` entries of a JSON list as JSON text; bad JSON gives its first 80 characters.
+    """First ``n`` entries of a JSON list as JSON text; text that is no such list is returned whole.
 
     A missing list reads as ``'[]'``.
     """
     t = F.coalesce(text, F.lit(MISSING_LIST_TEXT))
     parsed = F.from_json(t, schema)
-    return F.coalesce(F.to_json(F.slice(parsed, 1, n)), F.substring(t, 1, BAD_JSON_PREFIX))
+    return F.coalesce(F.to_json(F.slice(parsed, 1, n)), t)

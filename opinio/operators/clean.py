@@ -100,13 +100,15 @@ def add_clean_text(df: DataFrame, source: str = "review", target: str = "review_
     return computed_once(base, target, text.clean_lower_first(q(source)))
 
 
-def min_length(df: DataFrame, column: str = "review_clean", n: int = MIN_CLEAN_LENGTH) -> DataFrame:
-    return df.filter(F.length(q(column)) >= n)
+def min_length(df: DataFrame, column: str = "review_clean", n: int | None = MIN_CLEAN_LENGTH) -> DataFrame:
+    """Texts of at least ``n`` characters; None keeps all."""
+    return df if n is None else df.filter(F.length(q(column)) >= n)
 
 
-def clean_text(df: DataFrame, source: str = "review", target: str = "review_clean") -> DataFrame:
-    """Lower-first normaliser, then drop texts shorter than five characters."""
-    return min_length(add_clean_text(df, source, target), target)
+def clean_text(df: DataFrame, source: str = "review", target: str = "review_clean",
+               n: int | None = MIN_CLEAN_LENGTH) -> DataFrame:
+    """Lower-first normaliser, then drop texts shorter than ``n`` (five) characters."""
+    return min_length(add_clean_text(df, source, target), target, n)
 
 
 def validate_ratings(df: DataFrame, column: str = "rating") -> DataFrame:
@@ -116,11 +118,13 @@ def validate_ratings(df: DataFrame, column: str = "rating") -> DataFrame:
     )
 
 
-def remove_outliers(df: DataFrame, column: str = "review_clean", max_length: int = MAX_CLEAN_LENGTH) -> DataFrame:
-    return df.filter(F.length(q(column)) <= max_length)
+def remove_outliers(df: DataFrame, column: str = "review_clean",
+                    max_length: int | None = MAX_CLEAN_LENGTH) -> DataFrame:
+    """Texts of at most ``max_length`` characters; None keeps all."""
+    return df if max_length is None else df.filter(F.length(q(column)) <= max_length)
 
 
-def select_final_columns(df: DataFrame, distinct_rows: bool = False) -> DataFrame:
+def select_final_columns(df: DataFrame, distinct_rows: bool = False, id_type: str = "bigint") -> DataFrame:
     """Final review columns; surrogate ids when the input has no user/product ids.
 
     ``distinct_rows`` tells the id generator that no two input rows are
@@ -142,12 +146,17 @@ def select_final_columns(df: DataFrame, distinct_rows: bool = False) -> DataFram
     rest = [c for c in df.columns if c not in ("review", "rating", "review_clean")]
     collapse = None if not (distinct_rows and not dropped) else False
     return surrogate_ids(df, tie_break=["rating", "review_clean", *rest],
-                         collapse_copies=collapse).select(*FINAL_COLUMNS)
+                         collapse_copies=collapse, id_type=id_type).select(*FINAL_COLUMNS)
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
+def clean_reviews(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_chars: int | None = MAX_CLEAN_LENGTH,
+                  id_type: str = "bigint") -> DataFrame:
     """JOB-1: the batch cleaner as one lazy plan (de-duplicate, then row filters).
 
+    ``min_chars`` and ``max_chars`` are the two length filters of the batch
+    cleaner; None turns one off (:func:`cleaning_funnel` reports what they drop).
+    ``id_type`` is the type of generated user ids.
+
     The input rating is carried (as ``_rating_in``) next to its truncated
     form until the final projection, so rows stay distinct after the
     de-duplication; the id generator then needs no copy folding.
@@ -155,11 +164,11 @@ def clean_reviews(df: DataFrame) -> DataFrame:
     return (
         df.transform(remove_duplicates)
         .transform(lambda d: drop_missing(d, ["review", "rating"]))
-        .transform(clean_text)
+        .transform(lambda d: clean_text(d, n=min_chars))
         .withColumn("_rating_in", q("rating"))
         .transform(validate_ratings)
-        .transform(remove_outliers)
-        .transform(lambda d: select_final_columns(d, distinct_rows=True))
+        .transform(lambda d: remove_outliers(d, max_length=max_chars))
+        .transform(lambda d: select_final_columns(d, distinct_rows=True, id_type=id_type))
     )
 
 
@@ -193,6 +202,32 @@ def cleaning_funnel(df: DataFrame) -> DataFrame:
     )
 
 
+def stage_totals(df: DataFrame) -> DataFrame:
+    """AGG-17 for the chain's tables in one pass: ``table_name, records``.
+
+    One grouping of identical rows counts the loaded rows, those the batch
+    cleaner keeps (and labels), and those the universal cleaner keeps.
+    """
+    funnel = cleaning_groups(df)
+    wide = funnel.agg(
+        F.sum("_n").alias("s0"), F.count_if("_cleaned").alias("s1"), F.count_if(~F.col("_no_text")).alias("s2")
+    )
+    return wide.selectExpr(
+        "stack(4, 'reviews_raw', s0, 'cleaned_reviews', s1, 'sentiment_results', s1, 'universal_sentiment', s2) "
+        "AS (table_name, records)"
+    )
+
+
+def cleaning_groups(df: DataFrame) -> DataFrame:
+    """Distinct rows of ``df`` with their number ``_n`` and whether each cleaner keeps them."""
+    groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    groups = computed_once(groups, "_len", F.length(text.clean_lower_first(q("review"))))
+    present = ~is_missing(df, "review") & ~is_missing(df, "rating")
+    kept = present & F.col("_len").between(MIN_CLEAN_LENGTH, MAX_CLEAN_LENGTH)
+    valid = ratings.int_rating(df, "rating").between(RATING_MIN, RATING_MAX)
+    return groups.select("_n", F.coalesce(kept & valid, F.lit(False)).alias("_cleaned"), q("review").isNull().alias("_no_text"))
+
+
 # --- JOB-4: universal cleaning --------------------------------------------------
 
 def universal_clean(df: DataFrame, review_col: str, rating_col: str, product_col: str) -> DataFrame:

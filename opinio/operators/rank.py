@@ -51,24 +51,21 @@ def spread_copies(df: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
     """``df`` with a ``_copy`` index that numbers identical rows 0..n-1.
 
     Identical rows are folded first (partial aggregation, so a hot row costs
-    one record per map task in the shuffle); rows with more than ``chunk``
-    copies are cut into chunks, the chunks are spread round-robin, and each
-    task expands at most ``chunk`` copies of a row.
+    one record per map task in the shuffle); every group is cut into chunks of
+    at most ``chunk`` copies, the chunks are spread round-robin, and a task
+    expands one chunk at a time.
     """
     n = F.col("_n")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    few = groups.filter(n <= chunk).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_copy"))
     last_chunk = F.floor((n - 1) / F.lit(chunk)).cast("long")
-    many = (
-        groups.filter(n > chunk)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
-        .repartition(tasks)
+    chunks = groups.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
+    return (
+        chunks.repartition(tasks)
         .select("*", F.explode(F.sequence(F.col("_chunk") * chunk,
                                           F.least((F.col("_chunk") + 1) * chunk, n) - 1)).alias("_copy"))
-        .drop("_chunk")
+        .drop("_chunk", "_n")
     )
-    return few.unionByName(many).drop("_n")
 
 
 def tagged_positions(df: DataFrame, order: list[str], tie_break: list[str], collapse_copies: bool) -> DataFrame:
@@ -109,27 +106,28 @@ def row_number_global(df: DataFrame, order: list[str], tie_break: list[str] | No
     return ranked.select(*[q(c) for c in df.columns], number.alias(out))
 
 
-def key_ranks(df: DataFrame, key: str, out: str) -> DataFrame:
+def key_ranks(df: DataFrame, key: str, out: str, id_type: str = "int") -> DataFrame:
     """``_k, <out>``: the dense rank of every distinct value of ``key`` (one row per value)."""
     distinct_keys = df.select(q(key).alias("_k")).distinct()
-    return row_number_global(distinct_keys, ["_k"], tie_break=[], out=out, collapse_copies=False)
+    return row_number_global(distinct_keys, ["_k"], tie_break=[], out=out, collapse_copies=False, id_type=id_type)
 
 
-def with_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]]) -> DataFrame:
-    """``df`` plus one dense-rank column per ``(key, out)``, each joined back null-safe.
+def with_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]], id_type: str = "int") -> DataFrame:
+    """``df`` plus one dense-rank column per ``(key, out)``; null keys rank first.
 
-    Every rank table is computed from ``df`` itself (not from the previous
-    join), then joined on; a column already named ``out`` (without case) is
-    replaced, as ``withColumn`` would.  The join strategy is Spark's: a small
-    rank table is broadcast (its size is known from the written files), a
-    large one sort-merge joined, with AQE splitting a skewed key.
+    A rank table holds one row per distinct key, computed from ``df`` written
+    once, and is joined back null-safe: Spark broadcasts a small one (its size
+    is known from the written files) and sort-merge joins a large one, with AQE
+    splitting a skewed key.  A column already named ``out`` (without case) is
+    replaced, as ``withColumn`` would.
     """
+    df = materialize(df, "rank-input")
     ranked_keys = [(resolve(df, k), out) for k, out in ranked_keys]
     outs = {out.lower() for _, out in ranked_keys}
     joined = df
     rank_cols = []
     for i, (key, out) in enumerate(ranked_keys):
-        t = key_ranks(df, key, f"_rank{i}").withColumnRenamed("_k", f"_k{i}")
+        t = key_ranks(df, key, f"_rank{i}", id_type).withColumnRenamed("_k", f"_k{i}")
         joined = joined.join(t, df[f"`{key}`"].eqNullSafe(t[f"_k{i}"]), "left")
         rank_cols.append(t[f"_rank{i}"].alias(out))
     kept = [df[f"`{c}`"] for c in df.columns if c.lower() not in outs]
@@ -145,9 +143,10 @@ def dense_rank_global(df: DataFrame, key: str, out: str = "dense_rank") -> DataF
 
 
 def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | None = None,
-                  collapse_copies: bool | None = None) -> DataFrame:
+                  collapse_copies: bool | None = None, id_type: str = "bigint") -> DataFrame:
     """WIN-1/WIN-2: ``user_id`` = global row number by ``order``; ``product_id`` = user_id % 1000."""
-    numbered = row_number_global(df, [order], tie_break=tie_break, out="user_id", collapse_copies=collapse_copies)
+    numbered = row_number_global(df, [order], tie_break=tie_break, out="user_id", collapse_copies=collapse_copies,
+                                 id_type=id_type)
     return numbered.withColumn("product_id", (F.col("user_id") % SURROGATE_PRODUCT_MODULUS).cast("int"))
 
 

@@ -10,12 +10,14 @@ needed.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinio.operators import rank
 from opinio.sources.files import materialize
 
 # The two training configurations and the list length.
@@ -24,30 +26,81 @@ BATCH_ALS = {"maxIter": 10, "regParam": 0.01, "nonnegative": True, "implicitPref
 UNIVERSAL_ALS = {"maxIter": 5, "regParam": 0.1, "coldStartStrategy": "drop"}
 LIST_LENGTH = 5
 TRAIN_RATIO = 0.8
-SPLIT_SEED = 42
 MIN_DISTINCT = 2
 
 
+def as_int_id(column: str) -> Column:
+    """``column`` as INT; an id that is not one (too wide, or text) is an error, never a null."""
+    c = F.col(column)
+    usable = c.try_cast("int")
+    message = F.concat(F.lit(f"{column} cannot be an INT id, index it first: "), c.cast("string"))
+    return F.when(c.isNotNull() & usable.isNull(), F.raise_error(message)).otherwise(usable).cast("int")
+
+
 def rating_triples(df: DataFrame, user: str = "user_id", item: str = "product_id", rating: str = "rating",
                    rating_out: str = "rating") -> DataFrame:
-    """PRJ-4 / FLT-2: ``(INT, INT, FLOAT)`` triples; ids that do not fit INT become null and are dropped."""
+    """PRJ-4 / FLT-2: ``(INT, INT, FLOAT)`` triples; rows with a missing id or rating are dropped.
+
+    Ids beyond INT or of text are refused; :func:`indexed_triples` takes those.
+    """
     return df.select(
-        F.col(user).try_cast("int").alias("user_id"),
-        F.col(item).try_cast("int").alias("product_id"),
+        as_int_id(user).alias("user_id"),
+        as_int_id(item).alias("product_id"),
         F.col(rating).try_cast("float").alias(rating_out),
     ).dropna()
 
 
-def split(triples: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """ML-1: seeded random split of a materialised frame, so both halves see the same rows.
-
-    ``randomSplit`` samples each input partition independently; reading a
-    fixed set of files makes the split repeatable and the halves disjoint and
-    complete even after task retries.
+@dataclass
+class Indexed:
+    """Triples on dense INT indexes, and the tables ``(_k, index)`` that lead back to the ids."""
+    triples: DataFrame
+    users: DataFrame
+    items: DataFrame
+
+
+def indexed_triples(df: DataFrame, user: str = "user_id", item: str = "product_id", rating: str = "rating",
+                    rating_out: str = "rating") -> Indexed:
+    """PRJ-4 for ids of any type: each id's dense rank among the ids of the kept rows stands for it."""
+    kept = materialize(df.select(F.col(user).alias("user_id"), F.col(item).alias("product_id"),
+                                 F.col(rating).try_cast("float").alias(rating_out)).dropna(), "triples")
+    users = materialize(rank.key_ranks(kept, "user_id", "index"), "user-index")
+    items = materialize(rank.key_ranks(kept, "product_id", "index"), "item-index")
+    u, p = users.toDF("user_id", "user_index"), items.toDF("product_id", "item_index")
+    joined = kept.join(u, "user_id").join(p, "product_id")
+    triples = joined.select(F.col("user_index").alias("user_id"), F.col("item_index").alias("product_id"), rating_out)
+    return Indexed(triples, users, items)
+
+
+def with_original_ids(flat: DataFrame, ids: Indexed) -> DataFrame:
+    """A flat list table with the original ids in place of the indexes."""
+    u = ids.users.select(F.col("_k").alias("_user"), F.col("index").alias("user_id"))
+    p = ids.items.select(F.col("_k").alias("_item"), F.col("index").alias("product_id"))
+    joined = flat.join(u, "user_id").join(p, "product_id")
+    named = {"user_id": F.col("_user").alias("user_id"), "product_id": F.col("_item").alias("product_id")}
+    return joined.select(*[named.get(c, F.col(c)) for c in flat.columns])
+
+
+def needs_index(df: DataFrame, columns: tuple[str, ...] = ("user_id", "product_id")) -> bool:
+    """Whether an id column holds anything but INT values (two numbers per column to the driver, none for small types)."""
+    kinds = {c: df.schema[c].dataType.typeName() for c in columns}
+    if any(k not in ("byte", "short", "integer", "long") for k in kinds.values()):
+        return True
+    wide = [c for c, k in kinds.items() if k == "long"]
+    if not wide:
+        return False
+    row = df.agg(*[f(c) for c in wide for f in (F.min, F.max)]).first()
+    return any(x is not None and not -(1 << 31) <= x < 1 << 31 for x in row)
+
+
+def split(triples: DataFrame, ratio: float = TRAIN_RATIO) -> tuple[DataFrame, DataFrame]:
+    """ML-1: split by a hash of the triple, so it is the same on any layout, cluster and engine.
+
+    A triple goes to training if the first four hex digits of its MD5 are below
+    ``ratio``; equal triples therefore fall on one side.
     """
-    fixed = materialize(triples, "split")
-    train, test = fixed.randomSplit([ratio, 1.0 - ratio], seed=seed)
-    return train, test
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in triples.columns])
+    low = F.substring(F.md5(text), 1, 4) < F.lit(format(math.ceil(ratio * 65536), "04x"))
+    return triples.filter(low), triples.filter(~low)
 
 
 def split_counts(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -63,8 +116,13 @@ class Fitted:
 
 
 def train(triples: DataFrame, rating_col: str = "rating", params: dict | None = None, seed: int | None = None) -> Fitted:
-    """ML-2 / ML-3: fit ALS on ``user_id, product_id, <rating_col>``."""
+    """ML-2 / ML-3: fit ALS on ``user_id, product_id, <rating_col>``.
+
+    Users and items are dealt over as many blocks as a shuffle has partitions.
+    """
     p = dict(BATCH_ALS if params is None else params)
+    blocks = max(10, int(triples.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    p = {"numUserBlocks": blocks, "numItemBlocks": blocks} | p
     als = ALS(userCol="user_id", itemCol="product_id", ratingCol=rating_col, **p)
     if seed is not None:
         als = als.setSeed(seed)
@@ -138,10 +196,55 @@ def predictions(fitted: Fitted, test: DataFrame) -> DataFrame:
     return fitted.model.transform(test).dropna()
 
 
+def invariants(training: DataFrame, n: int = LIST_LENGTH) -> DataFrame:
+    """Checks of a batch fit on ``training`` as one row.
+
+    Users trained on, users with a list, the longest list, places where a list
+    is not in descending order, and list entries whose score is not the product
+    of the two factors.
+    """
+    training = materialize(training, "train")
+    fitted = train(training)
+    flat = materialize(user_recommendations(fitted, n), "lists")
+    lists = flat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    nested = nested_user_lists(fitted, n).select(F.col("recommendations.rating").alias("r"))
+    pairs = F.zip_with(F.slice("r", 1, F.size("r") - 1), F.slice("r", 2, F.size("r")), lambda a, b: (a < b).cast("int"))
+    falls = nested.filter(F.size("r") > 1).agg(F.coalesce(F.sum(F.aggregate(pairs, F.lit(0), lambda x, y: x + y)), F.lit(0)).alias("order_violations"))
+    u = fitted.model.userFactors.toDF("user_id", "u")
+    i = fitted.model.itemFactors.toDF("product_id", "i")
+    dot = F.aggregate(F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda x, y: x + y)
+    wrong = F.count_if(F.abs(dot - F.col("predicted_rating")) > 1e-3 * (1 + F.abs(dot)))
+    missed = flat.join(u, "user_id").join(i, "product_id").agg(wrong.alias("score_mismatches"), F.count(F.lit(1)).alias("_matched"))
+    entries = flat.agg(F.count(F.lit(1)).alias("_entries"))
+    trained = training.agg(F.count_distinct("user_id").alias("trained_users"))
+    size = lists.agg(F.count(F.lit(1)).alias("users_with_list"), F.max("n").alias("longest_list"))
+    # five one-row frames side by side
+    one = trained.join(size).join(falls).join(missed).join(entries)
+    return one.select("trained_users", "users_with_list", "longest_list", "order_violations",
+                      (F.col("score_mismatches") + F.col("_entries") - F.col("_matched")).alias("score_mismatches"))
+
+
 def universal_recommendations(ids: DataFrame, n: int = LIST_LENGTH) -> DataFrame | None:
-    """ML-3 / JOB-5: nested top-``n`` lists from dense-ranked ids, or None below the size gate."""
-    triples = ids.select("user_id", "product_id", F.col("Rating_Cleaned").alias("rating_float")).dropna()
+    """ML-3 / JOB-5: nested top-``n`` lists from dense-ranked ids, or None below the size gate.
+
+    The triples are written once, before the gate and the fit read them.
+    """
+    triples = materialize(ids.select("user_id", "product_id", F.col("Rating_Cleaned").alias("rating_float")).dropna(),
+                          "universal-triples")
     if not has_enough_variety(triples):
         return None
     fitted = train(triples, "rating_float", UNIVERSAL_ALS)
     return nested_user_lists(fitted, n)
+
+
+def universal_recommendations_by_id(df: DataFrame, n: int = LIST_LENGTH) -> DataFrame | None:
+    """The same on the rows' own ids, of any type: trained on indexes, listed with the ids."""
+    ids = indexed_triples(df, rating="Rating_Cleaned", rating_out="rating_float")
+    if not has_enough_variety(ids.triples):
+        return None
+    flat = with_original_ids(user_recommendations(train(ids.triples, "rating_float", UNIVERSAL_ALS), n), ids)
+    # at most n entries a user
+    entry = F.struct((-F.col("predicted_rating")).alias("_order"), "product_id", F.col("predicted_rating").alias("rating"))
+    lists = flat.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+    plain = F.transform("_l", lambda e: F.struct(e["product_id"].alias("product_id"), e["rating"].alias("rating")))
+    return lists.select("user_id", plain.alias("recommendations"))

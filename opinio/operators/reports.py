@@ -92,31 +92,22 @@ def top_product_ids(reviews: DataFrame, n: int = TOP_PRODUCTS_FOR_SENTIMENT) ->
     return _counts(reviews, "product_id").orderBy(F.desc("count"), "product_id").limit(n).select("product_id")
 
 
-def sentiment_top_products(sentiment: DataFrame, reviews: DataFrame,
+def sentiment_top_products(sentiment: DataFrame, reviews: DataFrame | None = None,
                            n: int = TOP_PRODUCTS_FOR_SENTIMENT) -> DataFrame:
-    """AGG-14 / JOIN-1 (Query 6): sentiment counts of the ``n`` most reviewed products.
+    """AGG-14 / JOIN-1 (Query 6): sentiment counts of the ``n`` most reviewed products, one lazy plan.
 
-    The subquery result is ``n`` ids, so it is evaluated first (like a scalar
-    subquery) and applied as ``product_id IN (...)``.  Unlike a semi join,
-    that predicate travels through the whole plan down to the Parquet scan:
-    the second pass reads and de-duplicates only the rows of ``n`` products
-    instead of the whole table again.
+    The table is grouped by (product, sentiment) first.  The ``n`` products
+    come from that small result if ``reviews`` is None (a labelled table has the
+    rows of the cleaned one), else from ``reviews``; they are broadcast (``n``
+    rows) into a left semi join.
     """
-    ids = [r["product_id"] for r in top_product_ids(reviews, n).collect()]  # at most n values
-    return (
-        _counts(sentiment.filter(F.col("product_id").isin(ids)), "product_id", "sentiment")
-        .orderBy("product_id", F.desc("count"), "sentiment")
-    )
-
-
-def sentiment_top_products_join(sentiment: DataFrame, reviews: DataFrame,
-                                n: int = TOP_PRODUCTS_FOR_SENTIMENT) -> DataFrame:
-    """The same report as one lazy plan: broadcast of the ``n``-row list + left semi join."""
-    top = F.broadcast(top_product_ids(reviews, n))
-    return (
-        _counts(sentiment.join(top, "product_id", "left_semi"), "product_id", "sentiment")
-        .orderBy("product_id", F.desc("count"), "sentiment")
-    )
+    counts = _counts(sentiment, "product_id", "sentiment")
+    if reviews is None:
+        totals = counts.groupBy("product_id").agg(F.sum("count").alias("count"))
+        top = totals.orderBy(F.desc("count"), "product_id").limit(n).select("product_id")
+    else:
+        top = top_product_ids(reviews, n)
+    return counts.join(F.broadcast(top), "product_id", "left_semi").orderBy("product_id", F.desc("count"), "sentiment")
 
 
 # --- further aggregates ----------------------------------------------------------

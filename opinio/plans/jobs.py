@@ -8,11 +8,13 @@ printed and nothing is collected).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinio.functions import recs as R
+from opinio.functions import text as T
 from opinio.operators import clean, columns, rank, recommend, reports
 from opinio.operators import sentiment as sent
 from opinio.sources import collections as coll
@@ -24,7 +26,7 @@ batch_sentiment = sent.sentiment_table  # JOB-2
 
 @dataclass
 class BatchRecommendations:
-    """JOB-3 outputs, all lazy frames over one fitted model."""
+    """JOB-3 outputs: frames over one fitted model."""
     train: DataFrame
     test: DataFrame
     predictions: DataFrame
@@ -36,15 +38,23 @@ class BatchRecommendations:
 
 
 def batch_recommend(cleaned: DataFrame) -> BatchRecommendations:
-    """JOB-3: triples -> split -> fit -> evaluate -> top-5 lists both ways -> statistics."""
-    triples = recommend.rating_triples(cleaned)
+    """JOB-3: triples -> split -> fit -> evaluate -> top-5 lists both ways -> statistics.
+
+    The triples are written once before the split, and the user lists once
+    before the statistics read them.  Ids that are no INT (wide or text) are
+    trained on as indexes and come back in the lists.
+    """
+    ids = recommend.indexed_triples(cleaned) if recommend.needs_index(cleaned) else None
+    triples = files.materialize(ids.triples if ids else recommend.rating_triples(cleaned), "triples")
     train, test = recommend.split(triples)
     fitted = recommend.train(train)
     preds = recommend.predictions(fitted, test)
-    users = recommend.user_recommendations(fitted)
+    users, items = recommend.user_recommendations(fitted), recommend.top_users_per_product(fitted)
+    if ids:
+        users, items = recommend.with_original_ids(users, ids), recommend.with_original_ids(items, ids)
+    users = files.materialize(users, "user-lists")
     avg_by_user, most = reports.recommendation_stats(users)
-    return BatchRecommendations(train, test, preds, reports.rmse(preds), users,
-                                recommend.top_users_per_product(fitted), avg_by_user, most)
+    return BatchRecommendations(train, test, preds, reports.rmse(preds), users, items, avg_by_user, most)
 
 
 def save_batch_recommendations(out: BatchRecommendations, base: str) -> None:
@@ -77,18 +87,17 @@ def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_pa
     labelled = sent.universal_sentiment(cleaned)
     written["sentiment_results"] = files.write_run_table(labelled, run_base, "sentiment_results")
     if collections_base:
-        coll.write_collection(coll.with_record_id(labelled), f"{collections_base}/sentiment_analysis")
+        coll.write_collection(coll.with_record_id(labelled), f"{collections_base}/sentiment_analysis", key=coll.ID_FIELD)
     if real_ids:
-        ids = cleaned.withColumns({"user_id": F.col("user_id").try_cast("int"),
-                                   "product_id": F.col("product_id").try_cast("int")})
+        lists = recommend.universal_recommendations_by_id(cleaned)
     else:
-        ids = rank.dense_rank_ids(cleaned, review_col, product_col)
-    lists = recommend.universal_recommendations(ids)
+        lists = recommend.universal_recommendations(rank.dense_rank_ids(cleaned, review_col, product_col))
     if lists is not None:
         written["recommendations"] = files.write_run_table(lists, run_base, "recommendations")
         if collections_base:
-            as_json = lists.withColumn("recommendations", R.list_to_json(F.col("recommendations")))
-            coll.write_collection(as_json, f"{collections_base}/recommendations")
+            # scored once: the copy reads the table just written
+            as_json = spark.read.parquet(written["recommendations"]).withColumn("recommendations", R.list_to_json(F.col("recommendations")))
+            coll.write_collection(as_json, f"{collections_base}/recommendations", key="user_id")
     files.publish_run(spark, pointer_path, run_base)
     return written
 
@@ -106,7 +115,7 @@ def report_pack(cleaned: DataFrame, sentiment: DataFrame) -> dict[str, DataFrame
         "top_products": reports.top_products(cleaned),
         "rating_distribution": reports.rating_distribution(cleaned),
         "top_users": reports.top_users(cleaned),
-        "sentiment_top_products": reports.sentiment_top_products(sentiment, cleaned),
+        "sentiment_top_products": reports.sentiment_top_products(sentiment),
     }
 
 
@@ -114,36 +123,47 @@ def _metric_rows(df: DataFrame, section: str, metric, value) -> DataFrame:
     return df.select(F.lit(section).alias("section"), metric.alias("metric"), value.alias("value"))
 
 
+def _numbered(df: DataFrame, section: str, order: list[str], value) -> DataFrame:
+    """The first rows of ``df`` in an order, numbered, as text (a handful of rows)."""
+    first = reports.preview_rows(df, order).select(*order, value.alias("_text"))
+    place = F.row_number().over(Window.orderBy(*order, "_text")).cast("string")
+    return _metric_rows(first, section, place, F.col("_text"))
+
+
 def results_summary(spark: SparkSession, pointer_path: str) -> DataFrame | None:
-    """JOB-7: ``section, metric, value`` for the latest run; None when no run was published.
+    """JOB-7: ``section, metric, value`` (text) for the latest run; None when no run was published.
 
-    A section whose table is missing is left out; the others still report.
+    Totals, the cleaned table's columns and first records (ASCII only, as
+    JSON), the sentiment distribution and mean ratings, and the first
+    recommendation lists.  A section whose table is missing is left out.
     """
     if files.latest_run(spark, pointer_path) is None:
         return None
+    total = F.count(F.lit(1)).alias("n")
     parts: list[DataFrame] = []
     cleaned = files.read_run_table(spark, pointer_path, "cleaned_data")
     if cleaned is not None:
-        parts.append(_metric_rows(cleaned.agg(F.count(F.lit(1)).alias("n")), "cleaned_data",
-                                  F.lit("total_records"), F.col("n").cast("double")))
+        parts.append(_metric_rows(cleaned.agg(total), "cleaned_data", F.lit("total_records"), F.col("n").cast("string")))
+        names = F.posexplode(F.array(*map(F.lit, cleaned.columns)))
+        listed = spark.range(1).select(names)
+        parts.append(_metric_rows(listed, "columns", (F.col("pos") + 1).cast("string"), F.col("col")))
+        record = T.strip_non_ascii(F.to_json(F.struct(*[clean.q(c) for c in cleaned.columns])))
+        order = [c for c in ("review", "user_id", "product_id") if c in cleaned.columns] or cleaned.columns[:1]
+        parts.append(_numbered(cleaned, "sample_records", order, record))
     labelled = files.read_run_table(spark, pointer_path, "sentiment_results")
     if labelled is not None:
-        parts.append(_metric_rows(labelled.agg(F.count(F.lit(1)).alias("n")), "sentiment_results",
-                                  F.lit("total_records"), F.col("n").cast("double")))
+        parts.append(_metric_rows(labelled.agg(total), "sentiment_results", F.lit("total_records"), F.col("n").cast("string")))
         parts.append(_metric_rows(reports.sentiment_counts(labelled), "sentiment_distribution",
-                                  F.col("sentiment"), F.col("count").cast("double")))
+                                  F.col("sentiment"), F.col("count").cast("string")))
         parts.append(_metric_rows(reports.avg_rating_by_sentiment(labelled), "avg_rating_by_sentiment",
-                                  F.col("sentiment"), F.col("Avg_Rating")))
+                                  F.col("sentiment"), F.format_number("Avg_Rating", 2)))
     lists = files.read_run_table(spark, pointer_path, "recommendations")
     if lists is not None:
-        parts.append(_metric_rows(lists.agg(F.count(F.lit(1)).alias("n")), "recommendations",
-                                  F.lit("total_users"), F.col("n").cast("double")))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(_metric_rows(lists.agg(total), "recommendations", F.lit("total_users"), F.col("n").cast("string")))
+        first = reports.preview_rows(lists, ["user_id"])
+        parts.append(_metric_rows(first, "sample_recommendations", F.col("user_id").cast("string"),
+                                  R.list_to_json(F.col("recommendations"))))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def serving_summary(sentiment_docs: DataFrame | None, recommendation_docs: DataFrame | None) -> DataFrame | None:
@@ -167,9 +187,4 @@ def serving_summary(sentiment_docs: DataFrame | None, recommendation_docs: DataF
         first = recommendation_docs.orderBy("user_id").limit(coll.PREVIEW_DOCUMENTS)
         who = F.coalesce(F.col("user_id").cast("string"), F.lit(R.MISSING_ID_TEXT))
         parts.append(_metric_rows(first, "recommendations_preview", who, R.json_head(F.col("recommendations"))))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts) if parts else None

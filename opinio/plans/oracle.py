@@ -67,8 +67,10 @@ def round2_avg_halves(x: str) -> str:
 
 
 def record_id(cols: list[str]) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in cols)
-    return f"sha256(concat_ws(chr(31), {parts}))"
+    parts = " || ".join(
+        f"CASE WHEN {c} IS NULL THEN 'N' ELSE length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END" for c in cols
+    )
+    return f"sha256({parts})"
 
 
 UNIVERSAL_COLUMNS = ["user_id", "product_id", "Product_name", "rating_raw", "Rating", "review",

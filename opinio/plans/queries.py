@@ -9,6 +9,7 @@ the shared checkpoint location and read the result back.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,9 +96,9 @@ def kv_state(spark, sf):
     return keyed.apply_log(fixtures.fixture(spark, sf, "cell_log"))
 
 
-def _write_collection_and_read(spark, df: DataFrame, name: str) -> DataFrame:
+def _write_collection_and_read(spark, df: DataFrame, name: str, key: str) -> DataFrame:
     path = scratch_dir(spark, name)
-    coll.write_collection(df, path)
+    coll.write_collection(df, path, key=key)
     return coll.read_collection(spark, path, df.schema)
 
 
@@ -141,7 +142,7 @@ SELECT CAST(user_id AS INTEGER) AS user_id, CAST(product_id AS INTEGER) AS produ
 def q_external_table_scan(spark, sf):
     path = scratch_dir(spark, "sentiment_results")
     table = sentiment_results(spark, sf).withColumns(
-        {"user_id": F.col("user_id").try_cast("int"), "product_id": F.col("product_id").try_cast("int")})
+        {c: recommend.as_int_id(c) for c in ("user_id", "product_id")})
     files.write_parquet(table, path)
     # the declared layout names six columns; the files hold nine
     return files.read_table(spark, path, SENTIMENT_TABLE_SCHEMA)
@@ -163,7 +164,7 @@ def q_latest_run_scan(spark, sf):
 @register("collection_preview", "SRC-6", with_ctes("""
 SELECT review_clean, Rating, sentiment FROM sentiment_docs ORDER BY _id LIMIT 3""", "sentiment_docs"))
 def q_collection_preview(spark, sf):
-    stored = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis")
+    stored = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis", coll.ID_FIELD)
     return coll.preview(stored, ["review_clean", "Rating", "sentiment"])
 
 
@@ -189,14 +190,6 @@ def q_collection_replace(spark, sf):
     return coll.read_collection(spark, path, d.schema)
 
 
-@register("bounded_sync", "SNK-5", with_ctes("SELECT * FROM sentiment_docs ORDER BY _id LIMIT 500", "sentiment_docs"))
-def q_bounded_sync(spark, sf):
-    path = scratch_dir(spark, "sentiment_analysis")
-    d = sentiment_docs(spark, sf)
-    coll.bounded_sync(d, path)
-    return coll.read_collection(spark, path, d.schema)
-
-
 # --- projections and filters -----------------------------------------------------
 
 @register("detect_columns", "PRJ-1", with_ctes("""
@@ -207,7 +200,7 @@ def q_detect_columns(spark, sf):
 
 
 _DOC_FINAL = """
-SELECT CAST(rn AS INTEGER) AS user_id, CAST(rn % 1000 AS INTEGER) AS product_id, rating, review, review_clean
+SELECT CAST(rn AS BIGINT) AS user_id, CAST(rn % 1000 AS INTEGER) AS product_id, rating, review, review_clean
 FROM (SELECT *, row_number() OVER (ORDER BY review NULLS FIRST, rating NULLS FIRST, review_clean NULLS FIRST) AS rn
       FROM (SELECT rating, review, review_clean FROM (
               SELECT TRY_CAST(trunc(rating) AS INTEGER) AS rating, review, {clean} AS review_clean
@@ -236,6 +229,18 @@ def q_rating_triples(spark, sf):
     return recommend.rating_triples(cleaned(spark, sf))
 
 
+@register("indexed_triples", "PRJ-4 (text and wide ids)", with_ctes("""
+SELECT CAST(dense_rank() OVER (ORDER BY user_id) AS INTEGER) AS user_id,
+  CAST(dense_rank() OVER (ORDER BY product_id) AS INTEGER) AS product_id, rating
+FROM (SELECT 'U' || CAST(user_id AS VARCHAR) AS user_id, product_id + 3000000000 AS product_id,
+        CAST(rating AS FLOAT) AS rating FROM cleaned_reviews) t
+WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND rating IS NOT NULL""", "cleaned_reviews"))
+def q_indexed_triples(spark, sf):
+    wide = cleaned(spark, sf).withColumns({"user_id": F.concat(F.lit("U"), F.col("user_id").cast("string")),
+                                           "product_id": F.col("product_id") + F.lit(3000000000)})
+    return recommend.indexed_triples(wide).triples
+
+
 @register("universal_clean", "PRJ-5, JOB-4, SCL-5, SCL-7, FLT-8", with_ctes("SELECT * FROM universal", "universal"))
 def q_universal_clean(spark, sf):
     return universal(spark, sf)
@@ -279,14 +284,14 @@ def q_validate_ratings(spark, sf):
 
 @register("lookup_user", "FLT-6", with_ctes("SELECT * FROM recs_json WHERE user_id = 100", "recs_json"))
 def q_lookup_user(spark, sf):
-    stored = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations")
+    stored = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations", "user_id")
     return coll.find_equal(stored, "user_id", 100)
 
 
 @register("lookup_record", "FLT-7", with_ctes("""
 SELECT * FROM sentiment_docs WHERE _id = (SELECT min(_id) FROM sentiment_docs)""", "sentiment_docs"))
 def q_lookup_record(spark, sf):
-    stored = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis")
+    stored = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis", coll.ID_FIELD)
     wanted = stored.agg(F.min("_id")).first()[0]  # one id, as a user would paste it
     return coll.find_equal(stored, "_id", wanted)
 
@@ -407,15 +412,14 @@ WHERE product_id IN (SELECT product_id FROM cleaned_reviews GROUP BY product_id
                      ORDER BY count(*) DESC, product_id LIMIT 5)
 GROUP BY product_id, sentiment""", "sentiment_results", "cleaned_reviews"))
 def q_sentiment_top_products(spark, sf):
-    c = cleaned(spark, sf)
-    return reports.sentiment_top_products(sent.sentiment_table(c), c)
+    return reports.sentiment_top_products(sentiment_results(spark, sf))
 
 
-@register("sentiment_top_products_semi_join", "JOIN-1 (one plan: broadcast left semi join)",
+@register("sentiment_top_products_semi_join", "JOIN-1 (top ids from the cleaned table)",
           REGISTRY["sentiment_top_products"].sql)
 def q_sentiment_top_products_semi_join(spark, sf):
     c = cleaned(spark, sf)
-    return reports.sentiment_top_products_join(sent.sentiment_table(c), c)
+    return reports.sentiment_top_products(sent.sentiment_table(c), c)
 
 
 @register("avg_predicted_by_user", "AGG-15", with_ctes("""
@@ -447,12 +451,7 @@ UNION ALL SELECT 'sentiment_results', count(*) FROM sentiment_results
 UNION ALL SELECT 'universal_sentiment', count(*) FROM universal_sentiment""",
                                               "sentiment_results", "universal_sentiment"))
 def q_table_totals(spark, sf):
-    r = raw(spark, sf)
-    c = jobs.clean_reviews(r)
-    return reports.table_totals({
-        "reviews_raw": r, "cleaned_reviews": c, "sentiment_results": sent.sentiment_table(c),
-        "universal_sentiment": sent.universal_sentiment(jobs.universal_clean(r)[0]),
-    })
+    return clean.stage_totals(raw(spark, sf))
 
 
 @register("rmse", "AGG-18", with_ctes("""
@@ -566,7 +565,7 @@ SELECT CAST(user_id AS INTEGER) AS user_id,
                      ORDER BY rn) FILTER (WHERE rn <= 3)) AS VARCHAR) AS top_recommendations
 FROM recs_flat GROUP BY user_id""", "recs_flat"))
 def q_recs_top3(spark, sf):
-    stored = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations")
+    stored = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations", "user_id")
     return stored.select("user_id", R.json_head(F.col("recommendations")).alias("top_recommendations"))
 
 
@@ -621,26 +620,6 @@ def q_kv_apply(spark, sf):
     return kv_state(spark, sf)
 
 
-@register("kv_stream_apply", "KV-1..5 (incremental)", with_ctes("SELECT * FROM kv_state", "kv_state"))
-def q_kv_stream_apply(spark, sf):
-    """The mutation log dropped as three files in ``seq`` order, folded by a stream."""
-    from opinio.streaming import keyed as skeyed
-
-    log = fixtures.fixture(spark, sf, "cell_log")
-    incoming = scratch_dir(spark, "incoming")
-    cuts = log.selectExpr("percentile_approx(seq, array(0.33, 0.66)) AS b").first()["b"]
-    drops = [log.filter(F.col("seq") <= cuts[0]),
-             log.filter((F.col("seq") > cuts[0]) & (F.col("seq") <= cuts[1])),
-             log.filter(F.col("seq") > cuts[1])]
-    for i, d in enumerate(drops):
-        d.write.parquet(f"{incoming}/drop={i}")
-    root = scratch_dir(spark, "kv-state")
-    stream = skeyed.start(skeyed.log_source(spark, incoming, max_files_per_trigger=4), root,
-                          scratch_dir(spark, "kv-stream-checkpoint"), available_now=True)
-    stream.awaitTermination()
-    return skeyed.current_state(spark, root).drop("seq")
-
-
 # --- jobs -----------------------------------------------------------------------------
 
 @register("clean_reviews", "JOB-1", with_ctes("SELECT * FROM cleaned_reviews", "cleaned_reviews"))
@@ -648,14 +627,25 @@ def q_clean_reviews(spark, sf):
     return cleaned(spark, sf)
 
 
+_U = O.UNIVERSAL_COLUMNS
+_RECORD = "concat('{', concat_ws(',', " + ", ".join(
+    f"""'"{c}":' || CAST(to_json({c}) AS VARCHAR)""" for c in _U) + "), '}')"
+
+
 @register("results_summary", "JOB-7, AGG-17, AGG-6, AGG-10", with_ctes(f"""
-SELECT 'cleaned_data' AS section, 'total_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM universal
-UNION ALL SELECT 'sentiment_results', 'total_records', CAST(count(*) AS DOUBLE) FROM universal_sentiment
-UNION ALL SELECT 'sentiment_distribution', sentiment, CAST(count(*) AS DOUBLE) FROM universal_sentiment GROUP BY sentiment
-UNION ALL SELECT 'avg_rating_by_sentiment', sentiment, {O.round2_avg_halves('Rating')} FROM universal_sentiment
-  GROUP BY sentiment
-UNION ALL SELECT 'recommendations', 'total_users', CAST(count(DISTINCT user_id) AS DOUBLE) FROM recs_flat""",
-                                                                    "universal_sentiment", "recs_flat"))
+SELECT 'cleaned_data' AS section, 'total_records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM universal
+UNION ALL SELECT 'columns', CAST(i AS VARCHAR), ({_U!r})[i] FROM range(1, {len(_U) + 1}) r(i)
+UNION ALL SELECT 'sample_records', CAST(row_number() OVER (ORDER BY review, user_id, product_id, j) AS VARCHAR),
+  regexp_replace(j, '[^\\x00-\\x7F]', '', 'g')
+FROM (SELECT review, user_id, product_id, {_RECORD} AS j FROM universal
+      ORDER BY review, user_id, product_id LIMIT 5) p
+UNION ALL SELECT 'sentiment_results', 'total_records', CAST(count(*) AS VARCHAR) FROM universal_sentiment
+UNION ALL SELECT 'sentiment_distribution', sentiment, CAST(count(*) AS VARCHAR) FROM universal_sentiment GROUP BY sentiment
+UNION ALL SELECT 'avg_rating_by_sentiment', sentiment, printf('%.2f', {O.round2_avg_halves('Rating')})
+  FROM universal_sentiment GROUP BY sentiment
+UNION ALL SELECT 'recommendations', 'total_users', CAST(count(*) AS VARCHAR) FROM recs_json
+UNION ALL SELECT 'sample_recommendations', CAST(user_id AS VARCHAR), recommendations
+FROM (SELECT * FROM recs_json ORDER BY user_id LIMIT 5) r""", "universal_sentiment", "recs_json"))
 def q_results_summary(spark, sf):
     root = scratch_dir(spark, "runs")
     pointer = f"{root}/latest_run"
@@ -681,23 +671,84 @@ UNION ALL SELECT 'recommendations_preview', coalesce(CAST(user_id AS VARCHAR), '
   CAST(to_json(from_json(recommendations, '[{"product_id":"INTEGER","rating":"FLOAT"}]')[1:3]) AS VARCHAR)
 FROM (SELECT * FROM recs_json ORDER BY user_id LIMIT 3) r""", "sentiment_docs", "recs_json"))
 def q_serving_summary(spark, sf):
-    s_docs = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis")
-    r_docs = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations")
+    s_docs = _write_collection_and_read(spark, sentiment_docs(spark, sf), "sentiment_analysis", coll.ID_FIELD)
+    r_docs = _write_collection_and_read(spark, recs_json(spark, sf), "recommendations", "user_id")
     return jobs.serving_summary(s_docs, r_docs)
 
 
-# --- recommender (rows-only checks: no SQL form of ALS) ----------------------------------
+# --- recommender (ALS factors have no SQL form; the split and the checks of a fit do) ----
 
 def _split(spark, sf):
-    return recommend.split(recommend.rating_triples(cleaned(spark, sf)))
+    return recommend.split(files.materialize(recommend.rating_triples(cleaned(spark, sf)), "triples"))
+
+
+_SPLIT_CTES = ("cleaned_reviews",)
+_PARTS = """
+SELECT user_id, product_id, rating, CASE WHEN left(md5(user_id || '|' || product_id || '|' || rating), 4) < 'cccd'
+  THEN 'train' ELSE 'test' END AS part
+FROM (SELECT CAST(user_id AS INTEGER) AS user_id, CAST(product_id AS INTEGER) AS product_id,
+        CAST(rating AS FLOAT) AS rating FROM cleaned_reviews) t
+WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND rating IS NOT NULL"""
 
 
-@register("train_test_split", "ML-1, AGG-19")
+@register("train_test_split", "ML-1", with_ctes(_PARTS, *_SPLIT_CTES))
 def q_train_test_split(spark, sf):
     train, test = _split(spark, sf)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@register("split_counts", "AGG-19", with_ctes(
+    f"SELECT part, count(*) AS records FROM ({_PARTS}) p GROUP BY part", *_SPLIT_CTES))
+def q_split_counts(spark, sf):
+    return recommend.split_counts(*_split(spark, sf))
+
+
+@register("als_invariants", "ML-2, ML-4", with_ctes(f"""
+SELECT count(DISTINCT user_id) AS trained_users, count(DISTINCT user_id) AS users_with_list,
+  CAST(least(5, count(DISTINCT product_id)) AS BIGINT) AS longest_list,
+  CAST(0 AS BIGINT) AS order_violations, CAST(0 AS BIGINT) AS score_mismatches
+FROM ({_PARTS}) p WHERE part = 'train'""", *_SPLIT_CTES))
+def q_als_invariants(spark, sf):
+    return recommend.invariants(_split(spark, sf)[0])
+
+
+@register("universal_run", "JOB-5, SNK-3, SNK-4", with_ctes("""
+SELECT 'cleaned_data' AS table_name, count(*) AS records, count(DISTINCT review_clean) AS keys FROM universal
+UNION ALL SELECT 'sentiment_results', count(*), count(DISTINCT sentiment) FROM universal_sentiment
+UNION ALL SELECT 'recommendations', count(DISTINCT review), count(DISTINCT review) FROM universal
+UNION ALL SELECT 'served_sentiment', count(*), count(DISTINCT _id) FROM sentiment_docs
+UNION ALL SELECT 'served_recommendations', count(DISTINCT review), count(DISTINCT review) FROM universal""",
+                                                     "sentiment_docs"))
+def q_universal_run(spark, sf):
+    """Rows and distinct keys of every table that one universal run leaves."""
+    root = scratch_dir(spark, "universal-run")
+    jobs.universal_run(spark, raw(spark, sf), f"{root}/run_1", f"{root}/latest_run", f"{root}/db")
+    tables = {n: (files.read_run_table(spark, f"{root}/latest_run", n), k) for n, k in (
+        ("cleaned_data", "review_clean"), ("sentiment_results", "sentiment"), ("recommendations", "user_id"))}
+    tables |= {"served_sentiment": (spark.read.parquet(f"{root}/db/sentiment_analysis"), "_id"),
+               "served_recommendations": (spark.read.parquet(f"{root}/db/recommendations"), "user_id")}
+    return _rows_and_keys(tables)
+
+
+@register("batch_recommend", "JOB-3, SNK-6", with_ctes(f"""
+SELECT 'user_recommendations' AS table_name, least(5, count(DISTINCT product_id)) * count(DISTINCT user_id) AS records,
+  count(DISTINCT user_id) AS keys FROM ({_PARTS}) p WHERE part = 'train'
+UNION ALL SELECT 'product_recommendations', least(5, count(DISTINCT user_id)) * count(DISTINCT product_id),
+  count(DISTINCT product_id) FROM ({_PARTS}) p WHERE part = 'train'""", *_SPLIT_CTES))
+def q_batch_recommend(spark, sf):
+    """Rows and distinct keys of the two tables of a batch run."""
+    base = scratch_dir(spark, "batch-run")
+    jobs.save_batch_recommendations(jobs.batch_recommend(cleaned(spark, sf)), base)
+    return _rows_and_keys({n: (spark.read.parquet(f"{base}/{n}"), k) for n, k in (
+        ("user_recommendations", "user_id"), ("product_recommendations", "product_id"))})
+
+
+def _rows_and_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias("records"), F.count_distinct(key).alias("keys"))
+             .select(F.lit(name).alias("table_name"), "records", "keys") for name, (df, key) in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("als_factors", "ML-2")
 def q_als_factors(spark, sf):
     train, _ = _split(spark, sf)

@@ -1,21 +1,28 @@
 """Session helpers and the shared scratch location.
 
-The library never picks a machine-local folder when the cluster names one:
+The library never picks a machine-local folder on a cluster:
 ``spark.checkpoint.dir`` (or the context's checkpoint directory) is read from
-the running session.  Only when it is unset (local tests) is a fresh folder
-under the system temp directory registered as the checkpoint directory.
+the running session, and without it only a local master gets a fresh folder
+under the system temp directory; any other master is refused.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "opinio") -> SparkSession:
-    """Session for tests and local runs; a cluster job passes its own session."""
+def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "opinio",
+                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Session for tests and local runs; a cluster job passes its own session.
+
+    With ``input_bytes`` and ``total_cores`` the shuffles and scans are sized
+    by :func:`recommended_conf`.
+    """
+    sized = recommended_conf(input_bytes, total_cores) if input_bytes and total_cores else {}
     return (
         SparkSession.builder.master(master)
         .appName(app)
@@ -27,6 +34,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config(map=sized)
         .getOrCreate()
     )
 
@@ -58,6 +66,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="opinio-ckpt-")
     sc.setCheckpointDir(configured)
     # setCheckpointDir appends a per-application subfolder; report that one.
@@ -70,6 +80,7 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}/opinio/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the directory in use."""
-    return _checkpoint_root(spark)
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table of this application; call it when a job's results are written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_checkpoint_root(spark).rstrip('/')}/opinio")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

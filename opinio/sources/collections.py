@@ -1,10 +1,12 @@
 """Document collections as table folders (SNK-4, SNK-5, SRC-6, FLT-6, FLT-7).
 
-A collection is a folder of JSON (or Parquet) files written by the executors.
-Replacing a collection is an overwrite; a bounded sync writes the first ``n``
-rows in key order.  A document-store connector would only change ``fmt``.
-Each document carries a stable ``_id``: SHA-256 of its field values, so the
-same record always gets the same id.
+A collection is a folder of Parquet files written by the executors, sorted by
+its lookup key so that an equality reads the row groups whose range holds the
+value.  Replacing a collection is an overwrite with all rows (SNK-5's bounded
+form worked around a driver-side copy and is not needed).  A document-store
+connector takes another ``fmt`` and its ``options``.  Each document carries a
+stable ``_id``: SHA-256 of its field values, so the same record always gets the
+same id and different records get different ones.
 """
 
 from __future__ import annotations
@@ -15,19 +17,20 @@ from pyspark.sql.types import StructType
 
 from opinio.operators.clean import q
 
-# The id field, the separator and null marker inside the hashed
-# text, the bounded sync size and the preview size.
+# The id field, the null marker inside the hashed text and the preview size.
 ID_FIELD = "_id"
-FIELD_SEPARATOR = "\x1f"
-NULL_MARKER = "\x1e"
-SYNC_LIMIT = 500
+NULL_MARKER = "N"
 PREVIEW_DOCUMENTS = 3
 
 
 def record_id(columns: list[str]) -> Column:
-    """SHA-256 (hex) of the record's fields rendered as text, in column order."""
-    parts = [F.coalesce(q(c).cast("string"), F.lit(NULL_MARKER)) for c in columns]
-    return F.sha2(F.concat_ws(FIELD_SEPARATOR, *parts), 256)
+    """SHA-256 (hex) of the record's fields as text, in column order, each with its length in front.
+
+    The lengths keep the fields apart whatever they hold; a null field is the bare marker.
+    """
+    texts = [q(c).cast("string") for c in columns]
+    parts = [F.when(t.isNull(), NULL_MARKER).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def with_record_id(df: DataFrame, copies: bool = False) -> DataFrame:
@@ -47,18 +50,21 @@ def with_record_id(df: DataFrame, copies: bool = False) -> DataFrame:
     return spread.select(record_id([*df.columns, "_copy"]).alias(ID_FIELD), *[q(c) for c in df.columns])
 
 
-def write_collection(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """SNK-4: replace the collection at ``path`` with ``df`` (executors write, no collect)."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def write_collection(df: DataFrame, path: str, fmt: str = "parquet", key: str | None = None,
+                     options: dict[str, str] | None = None) -> None:
+    """SNK-4 / SNK-5: replace the collection at ``path`` with all of ``df`` (executors write, no collect).
 
-
-def bounded_sync(df: DataFrame, path: str, key: str = ID_FIELD, n: int = SYNC_LIMIT, fmt: str = "json") -> None:
-    """SNK-5: replace the collection with the first ``n`` rows in ``key`` order."""
-    write_collection(df.orderBy(key).limit(n), path, fmt)
+    ``key``: the field that lookups use; the files are range-partitioned and sorted by it.
+    ``options`` go to the writer as they are.
+    """
+    if key is not None:
+        df = df.repartitionByRange(q(key)).sortWithinPartitions(q(key))
+    df.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
 
 
-def read_collection(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "json") -> DataFrame:
-    return spark.read.schema(schema).format(fmt).load(path)
+def read_collection(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
+                    options: dict[str, str] | None = None) -> DataFrame:
+    return spark.read.schema(schema).format(fmt).options(**(options or {})).load(path)
 
 
 def preview(docs: DataFrame, fields: list[str] | None = None, key: str = ID_FIELD,
@@ -69,5 +75,5 @@ def preview(docs: DataFrame, fields: list[str] | None = None, key: str = ID_FIEL
 
 
 def find_equal(docs: DataFrame, field: str, value) -> DataFrame:
-    """FLT-6 / FLT-7: equality lookup (pushed to the scan as a filter)."""
+    """FLT-6 / FLT-7: equality lookup, pushed to the scan, which skips row groups by their range of the key."""
     return docs.filter(q(field) == F.lit(value))

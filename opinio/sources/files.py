@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -29,25 +32,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 # --- readers --------------------------------------------------------------
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             sampling_ratio: float | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """SRC-1: header CSV; types inferred unless ``schema`` is given.
 
-    Inference is a full extra pass over the files; at scale pass ``schema``,
-    or a ``sampling_ratio`` to infer from a fraction of the rows (a rare
-    value outside the sample can then fail to parse as the inferred type).
+    Inference is a full extra pass over the files; at scale pass ``schema``.
     """
     reader = spark.read.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "true")
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", str(sampling_ratio))
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     return reader.csv(path)
 
 
-def read_csv_multiline(spark: SparkSession, path: str, schema: StructType | None = None,
+def read_csv_multiline(spark: SparkSession, path: str, schema: StructType | str | None = None,
                        partitions: int | None = None) -> DataFrame:
     """SRC-2: quoted fields may hold newlines and doubled quotes.
 
@@ -108,24 +103,35 @@ def write_run_table(df: DataFrame, run_base: str, name: str) -> str:
     return path
 
 
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def publish_run(spark: SparkSession, pointer_path: str, run_base: str) -> None:
-    """SNK-3: write the one-row pointer last, after every table of the run exists."""
-    spark.createDataFrame([(run_base,)], f"{POINTER_FIELD} string").coalesce(1).write.mode("overwrite").json(
-        pointer_path
-    )
+    """SNK-3: add a one-row pointer record, after every table of the run exists.
+
+    Each publication is a new folder under ``pointer_path`` (an error if it is
+    there), so nothing is overwritten and an interrupted write, which leaves no
+    finished file, changes nothing for readers.
+    """
+    stamp = time.time_ns()
+    record = spark.createDataFrame([(run_base, stamp)], f"{POINTER_FIELD} string, published long")
+    record.coalesce(1).write.mode("errorifexists").json(f"{pointer_path}/{stamp:020d}")
 
 
 def latest_run(spark: SparkSession, pointer_path: str) -> str | None:
-    """The run folder named by the pointer, or None when nothing was published.
+    """The run folder of the newest pointer record, or None when nothing was published.
 
-    The pointer is one tiny record written by :func:`publish_run`; reading it
-    is the only value brought to the driver.
+    One tiny record is brought to the driver; a damaged one is an error.
     """
     try:
-        rows = spark.read.schema(f"{POINTER_FIELD} string").json(pointer_path).take(1)
-    except AnalysisException:
-        return None
-    return rows[0][0] if rows else None
+        records = spark.read.schema(f"{POINTER_FIELD} string, published long").option("mode", "FAILFAST").json(f"{pointer_path}/*")
+    except AnalysisException as e:
+        if _absent(e):
+            return None
+        raise
+    newest = records.orderBy(F.desc("published")).first()
+    return newest[0] if newest else None
 
 
 def read_run_table(spark: SparkSession, pointer_path: str, name: str) -> DataFrame | None:
@@ -135,5 +141,7 @@ def read_run_table(spark: SparkSession, pointer_path: str, name: str) -> DataFra
         return None
     try:
         return spark.read.parquet(f"{base}/{name}")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if _absent(e):
+            return None
+        raise

@@ -1,6 +1,7 @@
 """ALS invariants (rows-only keys): split, list shape, agreement with factor products, size gate."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from opinio.operators import recommend
@@ -13,9 +14,25 @@ def test_split_disjoint_and_complete(spark):
     train, test = recommend.split(triples)
     n = triples.count()
     assert train.count() + test.count() == n
-    key = ["user_id", "product_id", "rating"]
-    both = train.groupBy(key).count().join(test.groupBy(key).count(), key)
-    assert both.count() == 0 or triples.groupBy(key).count().filter("count > 1").count() > 0
+    assert train.intersect(test).count() == 0
+    # the same on another layout
+    again, _ = recommend.split(triples.repartition(7))
+    assert again.exceptAll(train).count() == train.exceptAll(again).count() == 0
+    assert 0.75 < train.count() / n < 0.85
+
+
+def test_wide_and_text_ids_are_kept(spark):
+    base = queries.cleaned(spark, SF_SMALL)
+    wide = base.withColumns({"user_id": F.concat(F.lit("u-"), F.col("user_id")), "product_id": F.col("product_id") + 3_000_000_000})
+    assert recommend.needs_index(wide) and not recommend.needs_index(base)
+    with pytest.raises(Exception, match="index it first"):
+        recommend.rating_triples(wide).collect()
+    out = jobs.batch_recommend(wide)
+    assert out.train.count() + out.test.count() == base.count()
+    # lists carry the original ids, for exactly the users trained on
+    assert out.user_recs.join(wide, "user_id", "left_anti").count() == 0
+    assert out.user_recs.select("user_id").distinct().count() == out.train.select("user_id").distinct().count()
+    assert out.user_recs.agg(F.min("product_id")).first()[0] >= 3_000_000_000
 
 
 def test_user_lists_match_factor_products(spark):

@@ -39,18 +39,55 @@ def test_pointer_and_summary_with_missing_section(spark):
     files.publish_run(spark, pointer, run)
     assert files.latest_run(spark, pointer) == run
     out = {(r.section, r.metric): r.value for r in jobs.results_summary(spark, pointer).collect()}
-    assert out[("sentiment_results", "total_records")] == 3.0
-    assert out[("avg_rating_by_sentiment", "Positive")] == 4.5
+    assert out[("sentiment_results", "total_records")] == "3"
+    assert out[("avg_rating_by_sentiment", "Positive")] == "4.50"
     assert not any(s == "cleaned_data" for s, _ in out)  # missing table: section left out
 
 
-def test_bounded_sync_is_ordered(spark):
+def test_runs_published_twice_and_damaged_pointer(spark, tmp_path):
+    pointer = str(tmp_path / "latest")
+    files.publish_run(spark, pointer, "run_a")
+    files.publish_run(spark, pointer, "run_b")
+    assert files.latest_run(spark, pointer) == "run_b"
+    assert len(list((tmp_path / "latest").iterdir())) == 2
+    (tmp_path / "latest" / "99999999999999999999").mkdir()  # a write that was interrupted
+    assert files.latest_run(spark, pointer) == "run_b"
+    (tmp_path / "latest" / "99999999999999999999" / "part-0.json").write_text('{"latest_path": "run_c", "publ')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.latest_run(spark, pointer)
+
+
+def test_shared_folder_is_required_off_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    from opinio import session
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master, fine in (("local[8]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False), ("spark://host:7077", False)):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master=master, setCheckpointDir=lambda d: None)
+        if fine:
+            session.scratch_dir(SimpleNamespace(sparkContext=context))
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                session.scratch_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_collections_are_sorted_and_take_options(spark, tmp_path):
     df = coll.with_record_id(spark.range(2000).withColumn("v", F.col("id") * 2))
-    path = scratch_dir(spark, "coll")
-    coll.bounded_sync(df, path, n=500)
+    path = str(tmp_path / "docs")
+    coll.write_collection(df, path, key="_id", options={"compression": "gzip"})
+    assert list((tmp_path / "docs").glob("*.gz.parquet"))
     back = coll.read_collection(spark, path, df.schema)
-    assert back.count() == 500
-    assert back.agg(F.max("_id")).first()[0] < df.orderBy("_id").select("_id").collect()[500][0]
+    wanted = df.filter("id = 77").first()
+    assert [tuple(r) for r in coll.find_equal(back, "_id", wanted._id).collect()] == [tuple(wanted)]
+    per_file = back.groupBy(F.input_file_name()).agg(F.min("_id").alias("a"), F.max("_id").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(per_file, per_file[1:]))
+
+
+def test_record_ids_do_not_collide(spark):
+    texts = [None, "", "N", "1:a", "\x1e", "\x1f", "a\x1f", "a", "0:"]
+    df = spark.createDataFrame([(x, y) for x in texts for y in texts], "x string, y string")
+    assert coll.with_record_id(df).select("_id").distinct().count() == len(texts) ** 2
 
 
 def test_record_id_is_stable(spark):
@@ -59,13 +96,13 @@ def test_record_id_is_stable(spark):
     assert ids[0] == ids[1] != ids[2] and len(ids[0]) == 64
 
 
-def test_json_head_bad_json_gives_prefix(spark):
+def test_json_head_bad_json_is_whole(spark):
     from opinio.functions.recs import json_head
 
     df = spark.createDataFrame([("[" + "x" * 100,), ('[{"product_id":1,"rating":2.0},{"product_id":2,"rating":1.0},'
                                 '{"product_id":3,"rating":0.5},{"product_id":4,"rating":0.25}]',), (None,)], "r string")
     got = [r[0] for r in df.select(json_head(F.col("r"))).collect()]
-    assert got[0] == ("[" + "x" * 100)[:80]
+    assert got[0] == "[" + "x" * 100
     assert got[1] == '[{"product_id":1,"rating":2.0},{"product_id":2,"rating":1.0},{"product_id":3,"rating":0.5}]'
     assert got[2] == "[]"
 
