@@ -27,7 +27,7 @@ def test_sentiment_top_products_uses_top_n(spark):
     sent = reviews.withColumn("sentiment", F.when(F.col("rating") >= 4, "Positive").otherwise("Negative"))
     got = sorted(map(tuple, reports.sentiment_top_products(sent, reviews, 2).collect()))
     assert got == [(1, "Positive", 3), (2, "Negative", 2)]
-    same = sorted(map(tuple, reports.sentiment_top_products_join(sent, reviews, 2).collect()))
+    same = sorted(map(tuple, reports.sentiment_top_products(sent, n=2).collect()))
     assert same == got
 
 
