@@ -80,12 +80,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         raw, good = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
         for b in batches:
             for t, g in zip(texts_of(b.column(0)), b.column(1).to_pylist()):
-                found = np.bincount(features(t), minlength=BUCKETS) if t and len(t) > BUCKETS else None
-                for total in (raw, good) if g else (raw,):
-                    if found is not None:
-                        total += found
-                    else:
-                        np.add.at(total, features(t), 1)
+                found = features(t)
+                np.add.at(raw, found, 1)
+                if g:
+                    np.add.at(good, found, 1)
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(good[at])], names=["bucket", "raw", "good"])
 

@@ -17,4 +17,16 @@ QUERIES = {
     "op7_simhash_near_duplicates": simhash.op7,
 }
 
-SQL: dict[str, str] = {}
+# Exact top-k is the one operator that SQL can state.
+OP1_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0) s) r
+WHERE rank <= 5"""
+
+SQL: dict[str, str] = {"op1_va_file_top_k": OP1_SQL}
