@@ -18,7 +18,8 @@ shuffle, so copies that fill a third of the table meet in no task.
 Results for odd input: vectors that are null, empty, or hold null or
 non-finite components, and rows without id, take no part; vectors only meet
 others of their dimension; rows repeated with id and vector count once; an
-empty table gives an empty result; other columns are not read.
+empty table gives an empty result; inner products beyond a long are an error;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 def _exact_type(a: np.ndarray, b: np.ndarray) -> type:
     """The fastest type in which inner products of integer rows of a and b are exact."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    if most >= 1 << 63:
+        raise OverflowError("inner products of these vectors do not fit a long")
     return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
 
 
@@ -84,7 +87,7 @@ def build(vectors: DataFrame, k: int) -> DataFrame:
 
 def meet(queries: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarray, exact: np.ndarray, firsts: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the places and scores of the block's k best vectors, ties to smaller ``firsts`` (least ids)."""
-    kind = _exact_type(queries, np.stack([np.abs(low) + step * CELLS]))
+    kind = _exact_type(queries, np.stack([low, low + step * CELLS]))
     bottom = (low + cells * step).astype(kind)
     top = (low + (cells + np.int64(1)) * step - 1).astype(kind)
     plus, minus = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
