@@ -11,11 +11,17 @@ after the other.  Tokens that match by element and class are merged inside;
 tokens found on one side only become optional; a text that differs becomes a
 slot; one that is the same on every page stays a constant.  ``pattern`` prints it.
 
-``extract`` walks a page along its host's wrapper and keeps the text runs of
-the article: inside ``article`` or ``main`` if the page has one, else inside the
-wrapper's part whose slots hold most of the text.  Menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments are left out by element,
-role and class (but for a header inside the article), and outside an article so are constants of the wrapper, as the template.
+``extract`` walks a page along its host's wrapper and keeps slots, inside an
+article as elsewhere; constants that stand on ``LEAST`` different pages or more are
+the template and are left out.  ``article`` or ``main`` are a hint where the main text is: what the
+wrapper's slots hold there counts ``HINT`` times against what they hold in the
+wrapper's part outside whose slots hold most of the text (``body``), and the larger is returned.
+A page that has none of this text follows the tags alone: all runs of its
+article (all constants, or unknown to the wrapper), else all slots, else all
+text.  Menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments are left out by element, role and class (but for a header inside the article).
+Repeated elements are one token: a constant line among paragraphs that
+differ from page to page is part of their slot and stays.
 
 Each wrapper is inferred from at most ``SAMPLE`` different pages of the host, taken by
 hash (those up to ``USUAL`` characters first); extraction covers every page
@@ -30,6 +36,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -46,6 +53,8 @@ from opinio.llm.link_trust import host
 SAMPLE = 16
 USUAL = 200_000
 PERIOD = 4
+LEAST = 3
+HINT = 2
 DEPTH = 120
 # Pages in an output batch.
 ROWS = 256
@@ -69,6 +78,7 @@ ASIDE_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay disclaimer paywall "
     "comment comments reply replies respond discussion disqus share sharing social follow subscribe newsletter signup login search tags copyright".split()
 )
+HINTS = ("article", "main")
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 
 _TOKEN = re.compile(
@@ -93,13 +103,21 @@ class Node:
 
 
 class Text:
-    """A text run; in a wrapper a constant, or a slot if ``value`` is None."""
+    """A text run; in a wrapper a constant, or a slot if ``value`` is None.
 
-    __slots__ = ("value", "chars", "linked", "plus", "optional")
+    ``runs`` are the digests of the runs of it on a page (several, if it repeats), None if pages
+    differ in them; ``marks`` the least hashes of up to ``LEAST`` different pages that have it.
+    """
+
+    __slots__ = ("value", "chars", "linked", "plus", "optional", "runs", "marks")
     sig, tag, aside = "#text", "#text", False
 
-    def __init__(self, value: str | None, chars: int, linked: int, plus: bool = False, optional: bool = False) -> None:
-        self.value, self.chars, self.linked, self.plus, self.optional = value, chars, linked, plus, optional
+    def __init__(self, value: str | None, chars: int, linked: int, plus: bool = False, optional: bool = False, runs: list | None = None, marks: list | None = None) -> None:
+        self.value, self.chars, self.linked, self.plus, self.optional, self.runs, self.marks = value, chars, linked, plus, optional, runs, marks or []
+
+    @property
+    def constant(self) -> bool:
+        return self.runs is not None and len(self.marks) >= LEAST
 
 
 @lru_cache(maxsize=4096)
@@ -118,8 +136,13 @@ def _kind(tag: str, attributes: str) -> tuple[str, bool]:
     return tag + "".join(f".{c}" for c in sorted(_DIGITS.sub("0", named).split())), aside
 
 
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=6).digest(), "big")
+
+
 def tree(page: str) -> Node:
     """The page as nested blocks; texts have white space folded."""
+    marks = [digest(page)]
     root = Node("#page", "#page", False)
     stack = [root]
     pieces: list[str] = []
@@ -130,7 +153,7 @@ def tree(page: str) -> Node:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                stack[-1].kids.append(Text(text, len(text), linked))
+                stack[-1].kids.append(Text(text, len(text), linked, runs=[digest(text)], marks=marks))
             pieces.clear()
         linked = 0
 
@@ -195,12 +218,16 @@ def tree(page: str) -> Node:
     return root
 
 
-def merge(a, b):
-    """The wrapper of what two tokens of one signature both match."""
+def merge(a, b, one_page: bool = False):
+    """The wrapper of what two tokens of one signature both match, on different pages or repeated on one."""
     plus, optional = a.plus or b.plus, a.optional or b.optional
     if isinstance(a, Text):
-        return Text(a.value if a.value == b.value else None, a.chars + b.chars, a.linked + b.linked, plus, optional)
-    return Node(a.sig, a.tag, a.aside, align(a.kids, b.kids), plus, optional)
+        if one_page:
+            runs = a.runs + b.runs
+        else:
+            runs = a.runs if a.runs == b.runs else None
+        return Text(a.value if a.value == b.value else None, a.chars + b.chars, a.linked + b.linked, plus, optional, runs, sorted({*a.marks, *b.marks})[:LEAST])
+    return Node(a.sig, a.tag, a.aside, align(a.kids, b.kids, one_page), plus, optional)
 
 
 def fold(kids: list) -> list:
@@ -219,7 +246,7 @@ def fold(kids: list) -> list:
                 continue
             items = kids[i : i + period]
             for r in range(1, n):
-                items = [merge(x, y) for x, y in zip(items, kids[i + r * period : i + (r + 1) * period])]
+                items = [merge(x, y, True) for x, y in zip(items, kids[i + r * period : i + (r + 1) * period])]
             if period == 1:
                 items[0].plus = True
                 out.append(items[0])
@@ -230,7 +257,7 @@ def fold(kids: list) -> list:
     return kids
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, one_page: bool = False) -> list:
     """Two folded streams as one: a longest common subsequence is merged, the rest is optional."""
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
@@ -239,7 +266,7 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i].sig == b[j].sig:
-            out.append(merge(a[i], b[j]))
+            out.append(merge(a[i], b[j], one_page))
             i, j = i + 1, j + 1
         else:
             if j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
@@ -274,7 +301,7 @@ def pattern(node) -> str:
 
 def _pack(node) -> list:
     if isinstance(node, Text):
-        return [0, node.value, node.chars, node.linked, node.plus, node.optional]
+        return [0, node.value, node.chars, node.linked, node.plus, node.optional, node.runs, node.marks]
     return [1, node.sig, node.tag, node.aside, [_pack(k) for k in node.kids], node.plus, node.optional]
 
 
@@ -292,11 +319,12 @@ class Wrapper:
         self.body = self._densest(root)
 
     def _weigh(self, node) -> float:
-        """Slot text outside links below a node; constants are the template's, unless there is one page only."""
+        """Slot text outside links, articles and mains below a node."""
         if isinstance(node, Text):
-            own = max(0, node.chars - 2 * node.linked) if node.value is None or self.pages < 2 else 0
+            own = 0 if node.constant else max(0, node.chars - 2 * node.linked)
         else:
-            own = 0.0 if node.aside else sum(map(self._weigh, node.kids))
+            own = sum(map(self._weigh, node.kids))
+            own = 0.0 if node.aside or node.tag in HINTS else own
         self.mass[id(node)] = own
         return own
 
@@ -314,19 +342,24 @@ def _has(node: Node, tag: str) -> bool:
     return any(isinstance(k, Node) and not k.aside and (k.tag == tag or _has(k, tag)) for k in node.kids)
 
 
+def _weight(runs: list[Text]) -> int:
+    return sum(max(0, t.chars - 2 * t.linked) for t in runs)
+
+
 def extract(page: str | None, wrapper: Wrapper | None) -> str:
     """The main text of a page."""
     if not page:
         return ""
     root = tree(page)
-    within = next((t for t in ("article", "main") if _has(root, t)), None)
-    out: list[str] = []
+    within = next((t for t in HINTS if _has(root, t)), None)
+    # all runs and the slots inside the article, the slots inside the wrapper's body, all slots, all runs
+    tagged, marked, body, slots, runs = [], [], [], [], []
 
-    def walk(node: Node, along: Node | None, inside: bool) -> None:
+    def walk(node: Node, along: Node | None, inside: bool, in_body: bool) -> None:
         ahead = along.kids if along is not None else []
         at = 0
         for kid in node.kids:
-            if kid.aside and not (inside and within and kid.tag == "header"):
+            if kid.aside and not (inside and kid.tag == "header"):
                 continue
             # the wrapper's token for this one: the same again if repeated, else the next of its kind
             twin = None
@@ -334,22 +367,21 @@ def extract(page: str | None, wrapper: Wrapper | None) -> str:
                 group = ahead[i].kids if ahead[i].tag == "#group" else (ahead[i],)
                 twin = next((g for g in group if g.sig == kid.sig), None)
                 if twin is not None:
-                    at = i
+                    at = i if ahead[i].plus else i + 1
                     break
             if isinstance(kid, Text):
-                constant = twin is not None and twin.value is not None and wrapper is not None and wrapper.pages >= 3
-                if inside and (within is not None or not constant):
-                    out.append(kid.value)
+                slot = twin is None or not twin.constant or kid.runs[0] not in twin.runs
+                for out, fits in ((tagged, inside), (marked, inside and slot), (body, in_body and not inside and slot), (slots, slot), (runs, True)):
+                    if fits:
+                        out.append(kid)
             else:
-                walk(kid, twin, inside or kid.tag == within or within is None and twin is not None and twin is wrapper.body)
-
-    start = wrapper.root if wrapper else None
-    walk(root, start, within is None and (wrapper is None or wrapper.body is wrapper.root))
-    if not out and within is None:
-        # the page does not follow its host's wrapper: all but what is marked as no article
-        wrapper = None
-        walk(root, None, True)
-    return " ".join(out)
+                walk(kid, twin, inside or kid.tag == within, in_body or twin is not None and twin is wrapper.body)
+
+    walk(root, wrapper.root if wrapper else None, False, wrapper is not None and wrapper.body is wrapper.root)
+    article = marked or tagged
+    if article and (HINT if marked else 1) * _weight(article) < _weight(body):
+        article = []
+    return " ".join(t.value for t in article or body or slots or runs)
 
 
 @lru_cache(maxsize=512)

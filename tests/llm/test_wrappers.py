@@ -36,6 +36,23 @@ def test_wrapper_finds_the_article_and_the_template():
     assert wrappers.extract("<table><tr><td>cell</table>", found) == "cell"
 
 
+def test_wrapper_decides_inside_the_article_too():
+    def one(i, article="article"):
+        return page(i, f"<{article}><div class=z>Always the same line</div><p>Story {i}</p>{'<h3>Only here</h3>' if i == 2 else ''}</{article}>")
+
+    for tag in ("article", "main"):
+        pages = [one(i, tag) for i in range(5)]
+        found = wrappers.Wrapper(*wrappers.infer(pages))
+        # the template's line goes, what only one page has is no template
+        assert wrappers.extract(pages[1], found) == "Story 1"
+        assert wrappers.extract(pages[2], found) == "Story 2 Only here"
+        # no wrapper: by the tag alone
+        assert wrappers.extract(pages[1], None) == "Always the same line Story 1"
+    # an article that is the same on every page against a body of slots: the tag is a hint only
+    pages = [page(i, f"<article>Try it</article><div class=x><p>{f'a long story {i} ' * 20}</p></div>") for i in range(5)]
+    assert wrappers.extract(pages[1], wrappers.Wrapper(*wrappers.infer(pages))) == " ".join(["a long story 1"] * 20)
+
+
 def test_copies_of_one_page_are_no_template(spark):
     one = page(0, "<article><p>the text</p></article>")
     bare = "<html><body><div><p>plain text</p></div></body></html>"
