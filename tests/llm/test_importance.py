@@ -73,3 +73,23 @@ def test_filter_and_scores_agree(spark):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     ids = {r.doc_id for r in importance.op3(spark, sf).collect()}
     assert ids == {r.doc_id for r in importance.keep_good(docs, labels).collect()} and len(ids) < docs.count()
+
+
+def test_held_out_toxic_documents(spark):
+    """Few toxic words in a long text: most of such documents go, and good ones stay."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
+    kept, _, _ = importance.classify(docs, labels.filter(~unseen))
+    held = kept.join(labels.filter(unseen).filter("quality = 1"), F.col("id") == F.col("doc_id"))
+    share = {r[0]: r[1] for r in held.groupBy((F.col("toxic") == 1).alias("toxic")).agg(F.avg(F.col("kept").cast("int"))).collect()}
+    # about a third of the labelled ones hold no toxic word at all
+    assert share[True] < 0.5 and share[False] > 0.99
+
+
+def test_without_toxic_labels_nothing_is_toxic(spark):
+    docs = spark.createDataFrame([(1, "good words here", None, None, None), (2, "bad idiot", None, None, None)], DOCS)
+    labels = spark.createDataFrame([(1, True, False, True), (2, False, False, True)], "id long, good boolean, toxic boolean, fits boolean")
+    assert not importance.models(docs, labels)[1].any()
+    evidence = importance.models(docs, labels.withColumn("toxic", F.col("id") == 2))[1]
+    assert (evidence > 0).sum() == 2 and importance.log_weights(["an idiot", "words", None], np.zeros(importance.BUCKETS), evidence)[1][0] > 0
