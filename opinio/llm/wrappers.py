@@ -23,8 +23,11 @@ comments are left out by element, role and class (but for a header inside the ar
 Repeated elements are one token: a constant line among paragraphs that
 differ from page to page is part of their slot and stays.
 
-Each wrapper is inferred from at most ``SAMPLE`` different pages of the host, taken by
-hash (those up to ``USUAL`` characters first); extraction covers every page
+Each wrapper is inferred from all pages of the host, in steps that give the same
+for any split of the input: tasks merge pages of equal structure (the layouts; whole pages
+do not travel, and of a text over ``SHOWN`` characters only a digest); a host's layouts are dealt by
+the hash of their structure into ``PARTS`` groups and those of a group aligned; last
+the groups' wrappers are aligned.  Extraction covers every page
 and the whole html.  Wrappers are joined to the pages by host.
 
 Results for odd input: null or empty html gives an empty text; pages without
@@ -44,14 +47,16 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.llm.common import cut, quoted, ship
 from opinio.llm.link_trust import host
 
-SAMPLE = 16
-USUAL = 200_000
+PARTS = 64
+SHOWN = 200
+# Nodes that a task holds before it passes its layouts on.
+HELD = 200_000
 PERIOD = 4
 LEAST = 3
 HINT = 2
@@ -259,11 +264,16 @@ def fold(kids: list) -> list:
 
 def align(a: list, b: list, one_page: bool = False) -> list:
     """Two folded streams as one: a longest common subsequence is merged, the rest is optional."""
+    out, start = [], 0
+    while start < min(len(a), len(b)) and a[start].sig == b[start].sig:
+        out.append(merge(a[start], b[start], one_page))
+        start += 1
+    a, b = a[start:], b[start:]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             best[i][j] = 1 + best[i + 1][j + 1] if a[i].sig == b[j].sig else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+    i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i].sig == b[j].sig:
             out.append(merge(a[i], b[j], one_page))
@@ -390,23 +400,88 @@ def _read(packed: str) -> Wrapper:
     return Wrapper(_unpack(root), pages)
 
 
-def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """``(host, wrapper, pattern, pages)`` of every host."""
+def _shape(kids: list) -> str:
+    """The structure of folded children, texts aside."""
+    return "".join(f"{k.sig}{'+' * k.plus}{'?' * k.optional}" + ("," if isinstance(k, Text) else f"[{_shape(k.kids)}]") for k in kids)
+
+
+def _shorten(node) -> int:
+    """Long texts become digests; returns the number of nodes."""
+    if isinstance(node, Text):
+        if node.value is not None and len(node.value) > SHOWN:
+            node.value = f"{node.value[:40]}...{digest(node.value):x}"
+        return 1 + len(node.runs or ())
+    return 1 + sum(map(_shorten, node.kids))
+
+
+def _lean(node) -> list:
+    """As ``_pack``, without what extraction has no use for."""
+    if isinstance(node, Text):
+        runs, marks = (node.runs, node.marks) if node.constant else (None, [])
+        return [0, None, node.chars, node.linked, node.plus, node.optional, runs, marks]
+    return [1, node.sig, node.tag, node.aside, [_lean(k) for k in node.kids], node.plus, node.optional]
+
+
+def _align_all(packed: list[str]) -> Node:
+    root = Node("#page", "#page", False)
+    for n, x in enumerate(packed):
+        kids = [_unpack(k) for k in json.loads(x)]
+        root.kids = align(root.kids, kids) if n else kids
+    return root
+
+
+def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, wrapper, pattern, pages)`` of every host; ``pages``: the number of different ones."""
     ship(pages.sparkSession)
     known = pages.select(host(quoted(url_col)).alias("host"), quoted(html_col).alias("html")).filter(F.length("html") > 0)
-    tag = F.xxhash64("html")
-    # different pages only: copies of one page say nothing about the template
-    ids = known.select("host", tag.alias("tag"), F.length("html").alias("n")).distinct()
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.col("n") > USUAL, "tag"))
-    chosen = ids.withColumn("place", place).filter(F.col("place") <= sample).select("host", "tag")
-    chosen = cut(chosen, "wrapper-samples")
-    picked = known.withColumn("tag", tag).join(chosen, ["host", "tag"]).dropDuplicates(["host", "tag"])
 
-    def learn(key: tuple, rows: pa.Table) -> pa.Table:
-        root, n = infer([p for _, p in sorted(zip(rows["tag"].to_pylist(), rows["html"].to_pylist()))])
-        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps([_pack(root), n])], "pattern": [pattern(root)], "pages": pa.array([n], pa.int32())})
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layouts: dict[tuple[str, int], list] = {}
+        held = 0
+
+        def out() -> pa.RecordBatch:
+            rows = [(h, shape, json.dumps([_pack(k) for k in kids])) for (h, shape), kids in layouts.items()]
+            cols = [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))]
+            return pa.RecordBatch.from_arrays(cols, names=["host", "shape", "layout"])
+
+        for b in batches:
+            for h, page in zip(b.column(0).to_pylist(), b.column(1)):
+                kids = fold(tree(page.as_py()).kids)
+                nodes = sum(map(_shorten, kids))
+                key = h, digest(_shape(kids))
+                if key in layouts:
+                    layouts[key] = align(layouts[key], kids)
+                else:
+                    layouts[key] = kids
+                    held += nodes
+                if held > HELD:
+                    yield out()
+                    layouts, held = {}, 0
+        if layouts:
+            yield out()
+
+    def part(key: tuple, rows: pa.Table) -> pa.Table:
+        # those of one structure merge in any order, different ones align in the order of their hashes
+        same: dict[int, list] = {}
+        for shape, x in zip(rows["shape"].to_pylist(), rows["layout"].to_pylist()):
+            kids = [_unpack(k) for k in json.loads(x)]
+            same[shape] = align(same[shape], kids) if shape in same else kids
+        wrapper: list = []
+        for n, shape in enumerate(sorted(same)):
+            wrapper = align(wrapper, same[shape]) if n else same[shape]
+        return pa.table({"host": [key[0].as_py()], "part": pa.array([key[1].as_py()], pa.int64()), "layout": [json.dumps([_pack(k) for k in wrapper])]})
 
-    return picked.select("host", "tag", "html").groupBy("host").applyInArrow(learn, "host string, wrapper string, pattern string, pages int")
+    def learn(key: tuple, rows: pa.Table) -> pa.Table:
+        root = _align_all([x for _, x in sorted(zip(rows["part"].to_pylist(), rows["layout"].to_pylist()))])
+        n = rows["pages"][0].as_py()
+        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps([_lean(root), n])], "pattern": [pattern(root)], "pages": pa.array([n], pa.int32())})
+
+    layouts = known.mapInArrow(gather, "host string, shape long, layout string")
+    parts = layouts.withColumn("part", F.pmod("shape", F.lit(PARTS))).groupBy("host", "part").applyInArrow(part, "host string, part long, layout string")
+    # copies of one page say nothing about the template
+    counts = known.select("host", F.xxhash64("html").alias("tag")).distinct().groupBy("host").agg(F.count(F.lit(1)).cast("int").alias("pages"))
+    counted = cut(parts, "wrapper-parts").join(cut(counts, "wrapper-pages"), "host")
+    return counted.select("host", "part", "layout", "pages").groupBy("host").applyInArrow(learn, "host string, wrapper string, pattern string, pages int")
 
 
 def main_text(pages: DataFrame, learned: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

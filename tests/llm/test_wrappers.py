@@ -91,3 +91,20 @@ def test_query_on_pages(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|$)", pages[r.page_id].html, re.S)[1]
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", inner))
         assert r.text == " ".join(filter(None, blocks)) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_rare_layout_of_a_large_host(spark):
+    """Every page counts: a layout on 4 of 200 pages has its own template, and one odd page makes a line a slot."""
+    usual = [page(i, f"<div class=x><p>Story {i}</p><h4>{'Odd' if i == 77 else 'Same'}</h4></div>") for i in range(196)]
+    rare = [page(i, f"<section><h5>Rare template</h5><p>Tale {i}</p></section>") for i in range(196, 200)]
+    df = spark.createDataFrame([(i, f"http://a.com/{i}", h) for i, h in enumerate(usual + rare)], SCHEMA)
+    outcomes = []
+    for n in (1, 7):
+        dealt = df.repartition(n)
+        learned = wrappers.wrappers(dealt)
+        assert learned.first().pages == 200
+        outcomes.append((learned.first().wrapper, {r.id: r.text for r in wrappers.main_text(dealt, learned).collect()}))
+    assert outcomes[0] == outcomes[1]
+    texts = outcomes[0][1]
+    assert texts[5] == "Story 5 Same" and texts[77] == "Story 77 Odd"
+    assert {texts[i] for i in range(196, 200)} == {f"Tale {i}" for i in range(196, 200)}
