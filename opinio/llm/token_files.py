@@ -4,9 +4,10 @@
 end id, and stores the ids as unsigned 16-bit integers (32-bit if the
 vocabulary needs it), little-endian, one zstandard frame per document, in
 ascending order of doc_id (nulls last; rows of one id in no special order).  The
-dictionary is trained on the ids of a bounded sample (``SAMPLE_DOCS``
-documents whose ids have the smallest hashes, at most ``SAMPLE_CHARS`` leading characters of
-each; it only shapes the compression, every text is stored whole).
+dictionary is trained on the whole id arrays of a sample drawn by a hash of the text: about
+``SAMPLE_BYTES`` of ids, a hundred times the dictionary, however long the documents are.  For less text
+the dictionary is an eighth of the ids; if they are too few to train on, it is
+their last bytes.  It only shapes the compression, every text is stored whole.
 
 Layout under ``path``, all Parquet, so that any store Spark writes to will do:
 
@@ -52,9 +53,8 @@ from opinio.session import scratch_dir
 
 MAGIC = b"TOKZ0001"
 BLOCK = 1 << 20
-SAMPLE_DOCS = 512
-SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 112 << 10
+SAMPLE_BYTES = 100 * DICTIONARY_BYTES
 LEVEL = 3
 # Runs without white space from which a text goes to the tokenizers library.
 LONG_RUN = 500
@@ -112,16 +112,39 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str, end: int, dtype: str) -> bytes:
-    """A zstandard dictionary over the sample's serialized ids; empty if the sample is too small for one."""
-    h = F.xxhash64("id")
-    # ids alone first, so that few texts travel
-    last = docs.select(h.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
-    pick = docs.filter(h <= last).select(h.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    texts = [r.text for r in pick.orderBy("h", "text").limit(SAMPLE_DOCS).collect()] if last is not None else []
-    samples = [np.append(np.frombuffer(encoder(path).encode(t), "<u4"), end).astype(dtype).tobytes() for t in texts]
-    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
+    """A zstandard dictionary over the sample's serialized ids; empty only if there is no text."""
+    known = docs.filter(F.length("text") > 0).select(F.xxhash64("text").alias("h"), "text")
+    whole = known.select("h", F.octet_length("text").alias("n")).distinct().agg(F.sum("n")).first()[0]
+    if not whole:
         return b""
-    return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    # twice as many bytes of text, since an id is shorter than its text; copies count once
+    share = min(1.0, 2 * SAMPLE_BYTES / whole)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path).encode
+        for b in batches:
+            for h, text in zip(b.column(0), texts_of(b.column(1))):
+                ids = np.append(np.frombuffer(encode(text), "<u4"), end).astype(dtype).tobytes()
+                # one document can fill the sample
+                yield pa.RecordBatch.from_arrays([pa.array([h.as_py()], pa.int64()), pa.array([ids[:SAMPLE_BYTES]], pa.binary())], names=["h", "ids"])
+
+    found = None
+    while found is None or not found.num_rows and share < 1:
+        # few documents, each far above the sample: the draw may miss all of them
+        share = share if found is None else min(1.0, 8 * share)
+        pick = known.filter(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40))).dropDuplicates(["h"])
+        found = pick.mapInArrow(run, "h long, ids binary").toArrow()
+    samples, held = [], 0
+    for ids in found.sort_by("h")["ids"]:
+        samples.append(ids.as_py())
+        held += len(samples[-1])
+        if held >= SAMPLE_BYTES:
+            break
+    size = min(DICTIONARY_BYTES, held // 8)
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(samples)[-max(size, 8) :]
 
 
 def pack(ids: list[int | None], counts: list[int], frames: list[bytes], dictionary_hash: bytes) -> bytes:

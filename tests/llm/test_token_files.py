@@ -82,3 +82,20 @@ def test_query_on_documents(spark, library):
         ids = ids_of(library, d.text)
         assert tuple(r) == (d.doc_id, start, len(ids) // 4, zlib.crc32(ids))
         start += len(ids) // 4
+
+
+@pytest.mark.parametrize("n", [3, 20000])
+def test_short_documents_share_a_dictionary(spark, library, n):
+    words = "the quick brown fox jumps over a lazy dog while some other animals of this forest look on".split()
+    texts = [" ".join(words[(i * k + k) % len(words)] for k in range(1, 13)) + f" {i}" for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = written(spark, docs)
+    dictionary = bytes(spark.read.parquet(f"{out}/dictionary").first().dictionary)
+    ids = [np.frombuffer(ids_of(library, t), "<u4").astype("<u2").tobytes() for t in texts]
+    assert 8 <= len(dictionary) <= max(256, sum(map(len, ids)) // 8)
+    got = {r.doc_id: bytes(r.ids) for r in token_files.read(spark, out).collect()}
+    assert len(got) == n and all(got[i] == ids_of(library, texts[i]) for i in range(0, n, max(1, n // 50)))
+    if n > 1000:
+        alone = token_files.zstandard.ZstdCompressor(level=token_files.LEVEL).compress
+        stored = sum(len(r.data) for r in spark.read.parquet(f"{out}/blocks").select("data").collect()) - 21 * n
+        assert stored < 0.9 * sum(len(alone(x)) for x in ids)
