@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, mixing, simhash, token_files, va_file, wrappers
+from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, merkle, mixing, simhash, token_files, va_file, wrappers
 
 QUERIES = {
     "op1_va_file_top_k": va_file.op1,
@@ -15,9 +15,10 @@ QUERIES = {
     "op10_token_files": token_files.op10,
     "op6_host_wrappers": wrappers.op6,
     "op7_simhash_near_duplicates": simhash.op7,
+    "op13_merkle_manifest": merkle.op13,
 }
 
-# Exact top-k is the one operator that SQL can state.
+# Operators that SQL can state.
 OP1_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
@@ -29,4 +30,57 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
     FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0) s) r
 WHERE rank <= 5"""
 
-SQL: dict[str, str] = {"op1_va_file_top_k": OP1_SQL}
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13_SQL = f"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i) x),
+digests AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(_LOWERED)} AS lowered,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS crc
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, lang, leaf, CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END AS claimed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, row_number() OVER () AS id
+  FROM digests),
+nodes AS (
+  SELECT lang, 0 AS level, p, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 7) // 8 FROM nodes WHERE n > 1 GROUP BY lang, level, p // 8),
+tops AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p FROM nodes WHERE n = 1),
+over_nodes AS (
+  SELECT 0 AS level, p, subroot AS h, count(*) OVER () AS n FROM tops
+  UNION ALL
+  SELECT level + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 7) // 8 FROM over_nodes WHERE n > 1 GROUP BY level, p // 8),
+up AS (
+  SELECT id, lang, 0 AS level, p, claimed AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT u.id, any_value(u.lang), any_value(u.level) + 1, any_value(u.p) // 8, sha256(string_agg(CASE WHEN x.p = u.p THEN u.h ELSE x.h END, '' ORDER BY x.p)),
+    any_value(u.proof) || coalesce(string_agg(x.h, '' ORDER BY x.p) FILTER (WHERE x.p <> u.p), '')
+  FROM up u JOIN nodes x ON x.lang IS NOT DISTINCT FROM u.lang AND x.level = u.level AND x.p // 8 = u.p // 8 AND x.n > 1 GROUP BY u.id),
+at_top AS (
+  SELECT u.id, t.p, u.h, u.proof, t.subroot FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level DESC) AS r FROM up) u JOIN tops t ON t.lang IS NOT DISTINCT FROM u.lang WHERE r = 1),
+over_up AS (
+  SELECT id, 0 AS level, p, h, proof FROM at_top
+  UNION ALL
+  SELECT u.id, any_value(u.level) + 1, any_value(u.p) // 8, sha256(string_agg(CASE WHEN x.p = u.p THEN u.h ELSE x.h END, '' ORDER BY x.p)),
+    any_value(u.proof) || coalesce(string_agg(x.h, '' ORDER BY x.p) FILTER (WHERE x.p <> u.p), '')
+  FROM over_up u JOIN over_nodes x ON x.level = u.level AND x.p // 8 = u.p // 8 AND x.n > 1 GROUP BY u.id)
+SELECT doc_id, leaf, subroot, root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM leaves JOIN at_top USING (id) JOIN (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level DESC) AS r FROM over_up) f USING (id),
+  (SELECT h AS root FROM over_nodes WHERE n = 1) r
+WHERE f.r = 1"""
+
+SQL: dict[str, str] = {"op1_va_file_top_k": OP1_SQL, "op13_merkle_manifest": OP13_SQL}
