@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, merkle, mixing, simhash, token_files, va_file, wrappers
+from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, merkle, mixing, shards, simhash, token_files, va_file, wrappers
 
 QUERIES = {
     "op1_va_file_top_k": va_file.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_token_files": token_files.op10,
     "op6_host_wrappers": wrappers.op6,
     "op7_simhash_near_duplicates": simhash.op7,
+    "op12_hypergeometric_shards": shards.op12,
     "op13_merkle_manifest": merkle.op13,
 }
 
