@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinio.llm import bpe, importance, lattice, learned_partitions, link_trust, merkle, mixing, shards, simhash, token_files, va_file, wrappers
+from opinio.llm import bpe, geometric, importance, lattice, learned_partitions, link_trust, merkle, mixing, shards, simhash, token_files, va_file, wrappers
 
 QUERIES = {
     "op1_va_file_top_k": va_file.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_token_files": token_files.op10,
     "op6_host_wrappers": wrappers.op6,
     "op7_simhash_near_duplicates": simhash.op7,
+    "op11_geometric_blocks": geometric.op11,
     "op12_hypergeometric_shards": shards.op12,
     "op13_merkle_manifest": merkle.op13,
 }
@@ -84,4 +85,25 @@ FROM leaves JOIN at_top USING (id) JOIN (SELECT *, row_number() OVER (PARTITION
   (SELECT h AS root FROM over_nodes WHERE n = 1) r
 WHERE f.r = 1"""
 
-SQL: dict[str, str] = {"op1_va_file_top_k": OP1_SQL, "op13_merkle_manifest": OP13_SQL}
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(t) AS term, len(t) AS n, row FROM (
+    SELECT doc_id, row_number() OVER () AS row,
+      regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents) x),
+c AS (SELECT count(DISTINCT row) AS docs, count(*) AS words FROM d),
+p AS (SELECT row, term, any_value(doc_id) AS doc_id, any_value(n) AS n, count(*) AS tf FROM d GROUP BY row, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, docs),
+q AS (
+  SELECT DISTINCT item_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM benchmark),
+s AS (
+  SELECT q.item_id, q.text, p.row, any_value(p.doc_id) AS doc_id,
+    CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM (SELECT item_id, text, unnest(t) AS term FROM q) q JOIN p USING (term) JOIN w USING (term), c
+  GROUP BY q.item_id, q.text, p.row)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) r
+WHERE rank <= 20"""
+
+SQL: dict[str, str] = {"op1_va_file_top_k": OP1_SQL, "op11_geometric_blocks": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
