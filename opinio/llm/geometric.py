@@ -11,15 +11,17 @@ Every posting list of a segment is clustered by document similarity: each
 document has a sketch (random signs of its terms, weighted by impact), every
 ``BLOCK``-th document of a list is a centre, and the others join the centre of
 most similar sketch.  A block stores the greatest impact of each term among
-its documents (the coordinates that some query consults together with the
-list's term), so the inner product of query and summary bounds every score in it.
+its documents.  A document is looked for in the list of the first of its query
+terms, those of greatest weight first, so a summary holds the list's term and
+the later terms that some query has together with it, and the inner product
+of query and summary bounds the score of every document looked for there.
 
 ``search`` asks the segments twice.  First each query reads the ``FIRST`` blocks
 with the highest bounds; the k-th best score found by all segments together is a
 floor of the result.  Then every block whose bound reaches the floor, or the
 k-th score that the task has meanwhile, is read, best bounds first; the others are
-skipped, which loses nothing, since a document with a score is in some block of
-some term of the query.  Documents are scored whole, from all their terms, once
+skipped, which loses nothing, since every document with a score is looked for
+somewhere.  Documents are scored whole, from all their terms, once
 per query; every task returns at most k of them a query, which are merged.
 
 A segment holds documents, not terms, so a term of a third of all documents
@@ -85,13 +87,14 @@ class Queries:
     repeats: list[np.ndarray]
     number: dict[bytes, int]
 
-    def consulted(self) -> list[np.ndarray]:
-        """For each term the terms of the queries that have it."""
+    def consulted(self, place: np.ndarray) -> list[np.ndarray]:
+        """For each term itself and the terms that a query has together with it and that come after it by ``place``."""
         near: list[list[np.ndarray]] = [[] for _ in self.number]
         for t in self.terms:
-            for x in t.tolist():
-                near[x].append(t)
-        return [np.unique(np.concatenate(n)) for n in near]
+            ordered = t[np.argsort(place[t])]
+            for i, x in enumerate(ordered.tolist()):
+                near[x].append(ordered[i:])
+        return [np.unique(np.concatenate(n)) if n else np.zeros(0, dtype=np.int64) for n in near]
 
 
 def query_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[Queries]:
@@ -147,10 +150,18 @@ def forward(docs: DataFrame, number: dict[bytes, int], id_col: str, text_col: st
 
 @dataclass
 class Statistics:
+    """Documents, words, the weight of each term, and its place when terms of greater weight come first."""
+
     docs: int
     words: int
     weights: np.ndarray
 
+    @property
+    def place(self) -> np.ndarray:
+        place = np.empty(len(self.weights), dtype=np.int64)
+        place[np.argsort(-self.weights, kind="stable")] = np.arange(len(place))
+        return place
+
 
 def statistics(rows: DataFrame, known: int) -> Statistics:
     """Documents, words and the weight of each of the ``known`` terms."""
@@ -177,19 +188,21 @@ def _signs(known: int) -> np.ndarray:
     return np.random.default_rng(known).choice(np.array([-1, 1], dtype=np.float32), (known, _DIMS))
 
 
-SEGMENT_FIELDS = {
-    "ids": "array<long>", "doc_ends": "array<int>", "terms": "array<int>", "impacts": "array<long>",
-    "list_terms": "array<int>", "list_blocks": "array<int>", "block_docs": "array<int>", "members": "array<int>",
-    "block_coords": "array<int>", "coords": "array<int>", "maxima": "array<long>",
+# Stored arrays of a segment beside the documents' ids, and the numbers in them.
+SEGMENT_ARRAYS = {
+    "doc_ends": "<i4", "terms": "<i4", "impacts": "<i8", "list_terms": "<i4", "list_blocks": "<i4", "block_docs": "<i4",
+    "members": "<i4", "block_coords": "<i4", "coords": "<i4", "maxima": "<i8",
 }
 
 
-def segment(ids: pa.Array, n: np.ndarray, sizes: np.ndarray, terms: np.ndarray, tfs: np.ndarray, s: Statistics, near: list[np.ndarray], signs: np.ndarray) -> dict:
+def segment(n: np.ndarray, sizes: np.ndarray, terms: np.ndarray, tfs: np.ndarray, s: Statistics, near: list[np.ndarray], signs: np.ndarray) -> dict:
     """The index of some documents: forward lists, and per term the blocks with members and summaries."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     value = impacts(s, n[owner], terms, tfs)
     keep = value > 0  # a term of weight 0 adds nothing
     owner, terms, value = owner[keep], terms[keep], value[keep]
+    by_place = np.lexsort((s.place[terms], owner))
+    terms, value = terms[by_place], value[by_place]
     sizes = np.bincount(owner, minlength=len(sizes))
     doc_ends = np.cumsum(sizes)
     sketch = np.zeros((len(sizes), _DIMS), dtype=np.float32)
@@ -205,17 +218,20 @@ def segment(ids: pa.Array, n: np.ndarray, sizes: np.ndarray, terms: np.ndarray,
     column = np.full(len(near), -1, dtype=np.int64)
     out: dict[str, list] = {k: [] for k in ("list_blocks", "block_docs", "members", "block_coords", "coords", "maxima")}
     for t, a, b in zip(list_terms.tolist(), first.tolist(), last.tolist()):
-        docs = owner[order[a:b]]
+        postings = order[a:b]
+        docs = owner[postings]
         if len(docs) > BLOCK:
             cluster = (sketch[docs] @ sketch[docs[::BLOCK]].T).argmax(axis=1)
             by = np.argsort(cluster, kind="stable")
-            docs, cluster = docs[by], np.unique(cluster[by], return_inverse=True)[1]
+            postings, docs, cluster = postings[by], docs[by], np.unique(cluster[by], return_inverse=True)[1]
         else:
             cluster = np.zeros(len(docs), dtype=np.int64)
         blocks = int(cluster[-1]) + 1
         column[near[t]] = np.arange(len(near[t]))
-        at = _lists(doc_ends[docs] - sizes[docs], sizes[docs])
-        cols, rows = column[terms[at]], np.repeat(cluster, sizes[docs])
+        # from the term itself on: what comes before it in its document is not consulted
+        later = doc_ends[docs] - postings
+        at = _lists(postings, later)
+        cols, rows = column[terms[at]], np.repeat(cluster, later)
         inside = cols >= 0
         best = np.zeros((blocks, len(near[t])), dtype=np.int64)
         np.maximum.at(best.reshape(-1), rows[inside] * len(near[t]) + cols[inside], value[at[inside]])
@@ -228,11 +244,11 @@ def segment(ids: pa.Array, n: np.ndarray, sizes: np.ndarray, terms: np.ndarray,
         out["coords"].append(near[t][col])
         out["maxima"].append(best[row, col])
     joined = {k: np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for k, v in out.items()}
-    return {"ids": ids, "doc_ends": doc_ends, "terms": terms, "impacts": value, "list_terms": list_terms} | joined
+    return {"doc_ends": doc_ends, "terms": terms, "impacts": value, "list_terms": list_terms} | joined
 
 
 def build(rows: DataFrame, s: Statistics, near: list[np.ndarray]) -> DataFrame:
-    """One row per segment of ``rows`` (those with a term of the query set), see ``SEGMENT_FIELDS``."""
+    """One row per segment of ``rows`` (those with a term of the query set): ``ids`` and ``SEGMENT_ARRAYS``."""
     sent = rows.sparkSession.sparkContext.broadcast((s, near))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,12 +259,11 @@ def build(rows: DataFrame, s: Statistics, near: list[np.ndarray]) -> DataFrame:
                 b = whole.slice(at, SEGMENT)
                 sizes = np.diff(b.column(2).offsets.to_numpy()).astype(np.int64)
                 terms, tfs = b.column(2).flatten().to_numpy().astype(np.int64), b.column(3).flatten().to_numpy()
-                made = segment(b.column(0), b.column(1).to_numpy(), sizes, terms, tfs, s, near, signs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([made[k].to_pylist() if k == "ids" else made[k]], pa.list_(pa.int64() if "long" in v else pa.int32())) for k, v in SEGMENT_FIELDS.items()], names=list(SEGMENT_FIELDS)
-                )
+                made = segment(b.column(1).to_numpy(), sizes, terms, tfs, s, near, signs)
+                ids = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column(0))
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array([made[k].astype(v).tobytes()], pa.binary()) for k, v in SEGMENT_ARRAYS.items())], names=["ids", *SEGMENT_ARRAYS])
 
-    fields = ", ".join(f"{k} {v}" for k, v in SEGMENT_FIELDS.items())
+    fields = ", ".join(["ids array<long>", *(f"{k} binary" for k in SEGMENT_ARRAYS)])
     return cut(rows.filter(F.size("terms") > 0).mapInArrow(run, fields), "lexical-index")
 
 
@@ -256,9 +271,8 @@ class Segment:
     """A stored segment, ready to be asked."""
 
     def __init__(self, row: pa.RecordBatch, known: int):
-        for k in SEGMENT_FIELDS:
-            if k != "ids":
-                setattr(self, k, row.column(list(SEGMENT_FIELDS).index(k)).flatten().to_numpy().astype(np.int64))
+        for i, (k, kind) in enumerate(SEGMENT_ARRAYS.items(), 1):
+            setattr(self, k, np.frombuffer(row.column(i)[0].as_buffer(), kind).astype(np.int64))
         ids = row.column(0).flatten()
         self.no_id = ids.is_null().to_numpy(zero_copy_only=False)
         self.ids = ids.fill_null(0).to_numpy()
@@ -370,7 +384,7 @@ def search(items: DataFrame, docs: DataFrame, k: int = K, item_col: str = "item_
         known = len(q.number)
         rows = forward(docs, q.number, id_col, text_col)
         s = statistics(rows, known)
-        index = build(rows, s, q.consulted())
+        index = build(rows, s, q.consulted(s.place))
         found = cut(_top(_hits(index, q, known, k, [1] * len(q.ids), FIRST), k), "lexical-first")
         # a query's k-th score so far: one number each
         floors = {r["query"]: r["score"] for r in found.filter(F.col("rank") == k).select("query", "score").collect()}
