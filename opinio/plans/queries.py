@@ -21,7 +21,7 @@ from opinio.functions import ratings as RT
 from opinio.functions import recs as R
 from opinio.functions import text as T
 from opinio.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
-from opinio.operators import clean, columns, keyed, rank, recommend, reports
+from opinio.operators import clean, columns, keyed, rank, recommend, recommend_checks, reports
 from opinio.operators import sentiment as sent
 from opinio.plans import jobs
 from opinio.plans import oracle as O
@@ -780,3 +780,37 @@ def q_als_universal(spark, sf):
     if lists is None:
         return spark.createDataFrame([], "user_id int, recommendations array<struct<product_id:int,rating:float>>")
     return lists
+
+
+@register("als_factors_checked", "ML-2", with_ctes(f"""
+SELECT DISTINCT 'user' AS side, user_id AS id, true AS valid FROM ({_PARTS}) p WHERE part = 'train'
+UNION ALL SELECT DISTINCT 'item', product_id, true FROM ({_PARTS}) p WHERE part = 'train'""", *_SPLIT_CTES))
+def q_als_factors_checked(spark, sf):
+    """Every factor row of a fit: is it the minimum of its own normal equations?"""
+    train = files.materialize(_split(spark, sf)[0], "train")
+    return recommend_checks.factor_check(train, recommend.train(train))
+
+
+@register("als_predictions_checked", "ML-6", with_ctes(f"""
+SELECT t.user_id, t.product_id, t.rating, true AS valid FROM ({_PARTS}) t
+WHERE part = 'test' AND user_id IN (SELECT user_id FROM ({_PARTS}) u WHERE part = 'train')
+  AND product_id IN (SELECT product_id FROM ({_PARTS}) i WHERE part = 'train')""", *_SPLIT_CTES))
+def q_als_predictions_checked(spark, sf):
+    """Every held-out pair that can be predicted: is the prediction the product of its factors?"""
+    train, test = _split(spark, sf)
+    fitted = recommend.train(files.materialize(train, "train"))
+    return recommend_checks.prediction_check(recommend.predictions(fitted, test), fitted)
+
+
+@register("als_universal_checked", "ML-3, ML-4", with_ctes("""
+SELECT CAST(user_id AS INTEGER) AS user_id, CAST(least(5, items) AS INTEGER) AS entries, true AS valid
+FROM (SELECT DISTINCT dense_rank() OVER (ORDER BY review) AS user_id FROM universal) u,
+  (SELECT count(DISTINCT Product_name) + count(DISTINCT CASE WHEN Product_name IS NULL THEN 1 END) AS items FROM universal) i""", "universal"))
+def q_als_universal_checked(spark, sf):
+    """Every user of a universal run: an optimal factor row, and a falling list of right scores."""
+    u, review_col, product_col = jobs.universal_clean(raw(spark, sf))
+    triples = recommend.universal_triples(rank.dense_rank_ids(u, review_col, product_col))
+    fitted = recommend.train(triples, "rating_float", recommend.UNIVERSAL_ALS)
+    lists = recommend_checks.list_check(recommend.nested_user_lists(fitted), fitted)
+    best = recommend_checks.user_optimality(triples, fitted).filter(F.col("residual") <= recommend_checks.TOLERANCE)
+    return lists.join(best, "user_id", "left").select("user_id", "entries", (F.col("valid") & F.col("residual").isNotNull()).alias("valid"))
