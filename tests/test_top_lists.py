@@ -110,7 +110,7 @@ def test_checks_see_a_wrong_fit(spark):
     # factors that belong to other ratings, scores of another model, lists in the wrong order
     other = train.withColumn("rating", (6 - F.col("rating")).cast("float"))
     assert recommend_checks.factor_check(other, fitted).filter("side = 'user' AND NOT valid").count() > 0.9 * train.select("user_id").distinct().count()
-    moved = predicted.withColumn("prediction", F.col("prediction") * 1.001)
+    moved = predicted.withColumn("prediction", F.col("prediction") + 0.01)
     assert recommend_checks.prediction_check(moved, fitted).filter("valid").count() == 0
     turned = nested.withColumn("recommendations", F.reverse("recommendations"))
     assert recommend_checks.list_check(turned, fitted).filter("valid").count() < 0.1 * nested.count()
