@@ -12,14 +12,18 @@ tokens found on one side only become optional; a text that differs becomes a
 slot; one that is the same on every page stays a constant.  ``pattern`` prints it.
 
 ``extract`` walks a page along its host's wrapper and keeps slots, inside an
-article as elsewhere; constants that stand on ``LEAST`` different pages or more are
-the template and are left out.  ``article`` or ``main`` are a hint where the main text is: what the
+article as elsewhere; constants are the template and are left out if they stand on
+``LEAST`` different pages or more and on ``MOST`` of the pages that have the block around
+them, the nearest one with a slot (shares are told from the ``MARKS`` least page hashes).  ``article`` or ``main`` are a hint where the main text is: what the
 wrapper's slots hold there counts ``HINT`` times against what they hold in the
 wrapper's part outside whose slots hold most of the text (``body``), and the larger is returned.
 A page that has none of this text follows the tags alone: all runs of its
 article (all constants, or unknown to the wrapper), else all slots, else all
 text.  Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are left out by element, role and class (but for a header inside the article).
+Some class words prove little: a block marked by one of ``MAYBE_WORDS`` stays if it holds the
+page's article element, or more than half of the article's text outside links (of the
+page's, where no element is an article).
 Repeated elements are one token: a constant line among paragraphs that
 differ from page to page is part of their slot and stays.
 
@@ -32,7 +36,8 @@ and the whole html.  Wrappers are joined to the pages by host.
 
 Results for odd input: null or empty html gives an empty text; pages without
 ``://`` in the url form a host of their own; broken and cut markup is closed at
-the end; elements nested deeper than ``DEPTH`` belong to their ancestor;
+the end; texts of elements nested deeper than ``DEPTH`` belong to their ancestor, and
+are left out if an element between marks them so;
 repeated rows are each returned; an empty table gives an empty result; other
 columns are not read.
 """
@@ -59,6 +64,8 @@ SHOWN = 200
 HELD = 200_000
 PERIOD = 4
 LEAST = 3
+MARKS = 16
+MOST = 0.8
 HINT = 2
 DEPTH = 120
 # Pages in an output batch.
@@ -76,14 +83,19 @@ ENDS = {
 # Elements, roles and words of class or id that mark what is no article.
 ASIDE_TAGS = frozenset("head header nav footer aside form button select dialog menu".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion promoted "
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc masthead topbar header footer foot "
-    "sidebar side aside rail widget widgets related recommended recommendations teaser teasers "
-    "cookie cookies consent gdpr notice notices notification alert popup modal overlay disclaimer paywall "
-    "comment comments reply replies respond discussion disqus share sharing social follow subscribe newsletter signup login search tags copyright".split()
+SURE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored "
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager masthead topbar footer foot "
+    "sidebar cookie cookies consent gdpr comment comments reply replies respond discussion disqus newsletter signup paywall".split()
+)
+MAYBE_WORDS = frozenset(
+    "promo promotion promoted toc header side aside rail widget widgets related recommended recommendations teaser teasers "
+    "notice notices notification alert popup modal overlay disclaimer "
+    "share sharing social follow subscribe login search tags copyright".split()
 )
 HINTS = ("article", "main")
+# How surely an element is no article: by element, role or a plain word, or by a word that articles have too.
+SURE, MAYBE = 2, 1
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 
 _TOKEN = re.compile(
@@ -99,11 +111,11 @@ _OTHER = re.compile(r"\b(?:no|has|with|without)[-_]+[\w-]+", re.I)
 
 
 class Node:
-    """A block element: what it is, its children (nodes and ``Text``), and in a wrapper how it may occur."""
+    """A block element: what it is, whether it is no article (0, MAYBE, SURE), its children (nodes and ``Text``), and in a wrapper how it may occur."""
 
     __slots__ = ("sig", "tag", "aside", "kids", "plus", "optional")
 
-    def __init__(self, sig: str, tag: str, aside: bool, kids: list | None = None, plus: bool = False, optional: bool = False) -> None:
+    def __init__(self, sig: str, tag: str, aside: int, kids: list | None = None, plus: bool = False, optional: bool = False) -> None:
         self.sig, self.tag, self.aside, self.kids, self.plus, self.optional = sig, tag, aside, kids or [], plus, optional
 
 
@@ -111,31 +123,33 @@ class Text:
     """A text run; in a wrapper a constant, or a slot if ``value`` is None.
 
     ``runs`` are the digests of the runs of it on a page (several, if it repeats), None if pages
-    differ in them; ``marks`` the least hashes of up to ``LEAST`` different pages that have it.
+    differ in them (and once ``decide`` has found that it is no template); ``marks`` the ``MARKS`` least
+    hashes of the different pages that have it.
     """
 
     __slots__ = ("value", "chars", "linked", "plus", "optional", "runs", "marks")
-    sig, tag, aside = "#text", "#text", False
+    sig, tag, aside = "#text", "#text", 0
 
     def __init__(self, value: str | None, chars: int, linked: int, plus: bool = False, optional: bool = False, runs: list | None = None, marks: list | None = None) -> None:
         self.value, self.chars, self.linked, self.plus, self.optional, self.runs, self.marks = value, chars, linked, plus, optional, runs, marks or []
 
     @property
     def constant(self) -> bool:
-        return self.runs is not None and len(self.marks) >= LEAST
+        return self.runs is not None
 
 
 @lru_cache(maxsize=4096)
-def _kind(tag: str, attributes: str) -> tuple[str, bool]:
+def _kind(tag: str, attributes: str) -> tuple[str, int]:
     """The signature of an element, and whether it marks what is no article."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     named = f"{found.get('class', '')} {found.get('id', '')}".strip()
     words = set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", _OTHER.sub(" ", named)).lower()))
     role = found.get("role", "").strip().lower()
     hidden = "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", "").lower()) is not None
-    aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(words & ASIDE_WORDS) or hidden
+    sure = tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(words & SURE_WORDS) or hidden
+    aside = SURE if sure else MAYBE if words & MAYBE_WORDS else 0
     if tag in ("body", "html", "article", "main"):
-        aside = hidden and tag not in ("body", "html")
+        aside = SURE if hidden and tag not in ("body", "html") else 0
     if role == "main" or found.get("itemprop", "") == "articleBody":
         tag = "main"
     return tag + "".join(f".{c}" for c in sorted(_DIGITS.sub("0", named).split())), aside
@@ -148,8 +162,9 @@ def digest(text: str) -> int:
 def tree(page: str) -> Node:
     """The page as nested blocks; texts have white space folded."""
     marks = [digest(page)]
-    root = Node("#page", "#page", False)
-    stack = [root]
+    root = Node("#page", "#page", 0)
+    # open elements: tag, the node that takes their texts, and whether an aside too deep for a node holds them
+    stack: list[tuple[str, Node, bool]] = [("#page", root, False)]
     pieces: list[str] = []
     linked = depth_a = 0
 
@@ -157,8 +172,8 @@ def tree(page: str) -> Node:
         nonlocal linked
         if pieces:
             text = " ".join("".join(pieces).split())
-            if text:
-                stack[-1].kids.append(Text(text, len(text), linked, runs=[digest(text)], marks=marks))
+            if text and not stack[-1][2]:
+                stack[-1][1].kids.append(Text(text, len(text), linked, runs=[digest(text)], marks=marks))
             pieces.clear()
         linked = 0
 
@@ -195,28 +210,31 @@ def tree(page: str) -> Node:
         elif closing:
             flush()
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
+                if stack[i][0] == tag:
                     del stack[i:]
                     break
-                if tag == "p" and stack[i].tag not in TEXT_TAGS:
+                if tag == "p" and stack[i][0] not in TEXT_TAGS:
                     break
         else:
             flush()
             ended, until = ENDS.get(tag, (set(), set()))
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" or stack[i].tag in ended:
+                if stack[i][0] == "p" or stack[i][0] in ended:
                     del stack[i:]
                     if not ended:
                         break
-                elif stack[i].tag in until or not ended:
+                elif stack[i][0] in until or not ended:
                     break
             sig, aside = _kind(tag, attributes)
+            kind = "main" if sig.split(".")[0] == "main" else tag
+            _, node, lost = stack[-1]
             if len(stack) <= DEPTH:
-                kind = "main" if sig.split(".")[0] == "main" else tag
                 node = Node(sig, kind, aside)
-                stack[-1].kids.append(node)
-                if not attributes.endswith("/") or tag not in ("div", "span"):
-                    stack.append(node)
+                stack[-1][1].kids.append(node)
+            else:
+                lost = lost or aside == SURE and tag != "header"
+            if not attributes.endswith("/") or tag not in ("div", "span"):
+                stack.append((kind, node, lost))
         if tag not in INLINE:
             depth_a = 0
     flush()
@@ -231,7 +249,7 @@ def merge(a, b, one_page: bool = False):
             runs = a.runs + b.runs
         else:
             runs = a.runs if a.runs == b.runs else None
-        return Text(a.value if a.value == b.value else None, a.chars + b.chars, a.linked + b.linked, plus, optional, runs, sorted({*a.marks, *b.marks})[:LEAST])
+        return Text(a.value if a.value == b.value else None, a.chars + b.chars, a.linked + b.linked, plus, optional, runs, a.marks if a.marks == b.marks else sorted({*a.marks, *b.marks})[:MARKS])
     return Node(a.sig, a.tag, a.aside, align(a.kids, b.kids, one_page), plus, optional)
 
 
@@ -256,7 +274,7 @@ def fold(kids: list) -> list:
                 items[0].plus = True
                 out.append(items[0])
             else:
-                out.append(Node("(" + ",".join(unit) + ")", "#group", False, items, plus=True))
+                out.append(Node("(" + ",".join(unit) + ")", "#group", 0, items, plus=True))
             i += n * period
         kids = out
     return kids
@@ -290,13 +308,44 @@ def align(a: list, b: list, one_page: bool = False) -> list:
 
 def infer(pages: list[str]) -> tuple[Node, int]:
     """The wrapper of pages, and of how many."""
-    wrapper = Node("#page", "#page", False)
+    wrapper = Node("#page", "#page", 0)
     for n, page in enumerate(pages):
         seen = fold(tree(page).kids)
         wrapper.kids = align(wrapper.kids, seen) if n else seen
+    decide(wrapper)
     return wrapper, len(pages)
 
 
+def decide(root: Node) -> None:
+    """Of the constants only those of the template stay so (their ``runs``), see above."""
+    known: dict[int, tuple[list[int], bool]] = {}
+
+    def read(node) -> tuple[list[int], bool]:
+        """The least page hashes of a token, and whether a slot is below it."""
+        if isinstance(node, Text):
+            return node.marks, node.runs is None
+        below = [read(k) for k in node.kids]
+        known[id(node)] = out = sorted(set().union(*(m for m, _ in below)))[:MARKS], any(s for _, s in below)
+        return out
+
+    def among(part: list[int], whole: list[int]) -> float:
+        """The share of the pages of ``whole`` that are of ``part``."""
+        seen = [m for m in whole if len(part) < MARKS or m <= part[-1]]
+        return sum(m in part for m in seen) / len(seen) if seen else 0.0
+
+    def walk(node: Node, around: list[int]) -> None:
+        marks, slots = known[id(node)]
+        own = marks if slots and node.tag not in TEXT_TAGS and node.tag != "#group" else around
+        for k in node.kids:
+            if isinstance(k, Node):
+                walk(k, own)
+            elif k.runs is not None and (len(k.marks) < LEAST or among(k.marks, own) < MOST):
+                k.runs = None
+
+    read(root)
+    walk(root, known[id(root)][0])
+
+
 def pattern(node) -> str:
     """The wrapper as a regular expression: ``#`` a slot, ``( )+`` repeated, ``( )?`` optional."""
     if isinstance(node, Text):
@@ -326,15 +375,16 @@ class Wrapper:
         self.root, self.pages = root, pages
         self.mass: dict[int, float] = {}
         self._weigh(root)
+        self._weigh(root, self.mass[id(root)] / 2)
         self.body = self._densest(root)
 
-    def _weigh(self, node) -> float:
-        """Slot text outside links, articles and mains below a node."""
+    def _weigh(self, node, half: float = 0.0) -> float:
+        """Slot text outside links, articles and mains below a node; what a class word marks counts if it is more than ``half``."""
         if isinstance(node, Text):
             own = 0 if node.constant else max(0, node.chars - 2 * node.linked)
         else:
-            own = sum(map(self._weigh, node.kids))
-            own = 0.0 if node.aside or node.tag in HINTS else own
+            own = sum(self._weigh(k, half) for k in node.kids)
+            own = 0.0 if node.aside == SURE or node.tag in HINTS or node.aside == MAYBE and own <= half else own
         self.mass[id(node)] = own
         return own
 
@@ -349,7 +399,27 @@ class Wrapper:
 
 
 def _has(node: Node, tag: str) -> bool:
-    return any(isinstance(k, Node) and not k.aside and (k.tag == tag or _has(k, tag)) for k in node.kids)
+    return any(isinstance(k, Node) and k.aside != SURE and (k.tag == tag or _has(k, tag)) for k in node.kids)
+
+
+def _settle(root: Node, within: str | None) -> None:
+    """On a page whose article element is ``within``: doubtful blocks become plain or asides."""
+
+    def weigh(node) -> int:
+        if isinstance(node, Text):
+            return max(0, node.chars - 2 * node.linked)
+        return 0 if node.aside == SURE else sum(map(weigh, node.kids))
+
+    def walk(node: Node, whole: int) -> None:
+        for k in node.kids:
+            if isinstance(k, Node) and k.aside != SURE:
+                if k.aside == MAYBE:
+                    k.aside = 0 if within and _has(k, within) or 2 * weigh(k) > whole else SURE
+                if not k.aside:
+                    walk(k, weigh(k) if k.tag == within else whole)
+
+    # beside an article no doubtful block is the main text
+    walk(root, 1 << 62 if within else weigh(root))
 
 
 def _weight(runs: list[Text]) -> int:
@@ -362,6 +432,7 @@ def extract(page: str | None, wrapper: Wrapper | None) -> str:
         return ""
     root = tree(page)
     within = next((t for t in HINTS if _has(root, t)), None)
+    _settle(root, within)
     # all runs and the slots inside the article, the slots inside the wrapper's body, all slots, all runs
     tagged, marked, body, slots, runs = [], [], [], [], []
 
@@ -417,13 +488,12 @@ def _shorten(node) -> int:
 def _lean(node) -> list:
     """As ``_pack``, without what extraction has no use for."""
     if isinstance(node, Text):
-        runs, marks = (node.runs, node.marks) if node.constant else (None, [])
-        return [0, None, node.chars, node.linked, node.plus, node.optional, runs, marks]
+        return [0, None, node.chars, node.linked, node.plus, node.optional, node.runs, []]
     return [1, node.sig, node.tag, node.aside, [_lean(k) for k in node.kids], node.plus, node.optional]
 
 
 def _align_all(packed: list[str]) -> Node:
-    root = Node("#page", "#page", False)
+    root = Node("#page", "#page", 0)
     for n, x in enumerate(packed):
         kids = [_unpack(k) for k in json.loads(x)]
         root.kids = align(root.kids, kids) if n else kids
@@ -474,6 +544,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     def learn(key: tuple, rows: pa.Table) -> pa.Table:
         root = _align_all([x for _, x in sorted(zip(rows["part"].to_pylist(), rows["layout"].to_pylist()))])
         n = rows["pages"][0].as_py()
+        decide(root)
         return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps([_lean(root), n])], "pattern": [pattern(root)], "pages": pa.array([n], pa.int32())})
 
     layouts = known.mapInArrow(gather, "host string, shape long, layout string")

@@ -108,3 +108,33 @@ def test_rare_layout_of_a_large_host(spark):
     texts = outcomes[0][1]
     assert texts[5] == "Story 5 Same" and texts[77] == "Story 77 Odd"
     assert {texts[i] for i in range(196, 200)} == {f"Tale {i}" for i in range(196, 200)}
+
+
+def test_deep_nesting_keeps_the_article_and_loses_the_menu():
+    deep = "<div>" * 200 + "<p>inside</p>" + "</div>" * 200
+    one = f"<html><body><div><article><p>before</p>{deep}<p>rest of the article</p></article></div></body></html>"
+    assert wrappers.extract(one, None) == "before inside rest of the article"
+    menu = "<article><p>text</p>" + "<div>" * 150 + "<nav><ul><li>Menu<li>Other</ul></nav><p>kept</p><form>Mail<p>x</p></form>" + "</div>" * 150 + "<p>end</p></article>"
+    assert wrappers.extract(menu, None) == "text kept end"
+
+
+def test_a_heading_of_a_few_pages_is_no_template():
+    refs = "<h2>References</h2><p>A book</p>"
+    note = "<div><p>Corrected version.</p><p>With two lines.</p></div>"
+    pages = [page(i, f"<article><h1>Title {i}</h1><div class=z>Always here</div><p>Story {i}</p>{refs if i % 25 == 0 else ''}{note if i % 20 == 1 else ''}</article>") for i in range(100)]
+    found = wrappers.Wrapper(*wrappers.infer(pages))
+    assert wrappers.extract(pages[50], found) == "Title 50 Story 50 References A book"
+    assert wrappers.extract(pages[21], found) == "Title 21 Story 21 Corrected version. With two lines."
+    assert wrappers.extract(pages[3], found) == "Title 3 Story 3"
+
+
+def test_a_class_word_does_not_delete_the_page():
+    for name in ("entry-content share", "search-results-article", "article-body tags", "side-by-side"):
+        for outer in ("article", "div"):
+            pages = [page(i, f"<{outer}><div class='{name}'><p>{f'Long story {i}. ' * 9}</p><div class=share>Share it</div></div><div class=tags>one two</div></{outer}>") for i in range(5)]
+            for found in (wrappers.Wrapper(*wrappers.infer(pages)), None):
+                text = wrappers.extract(pages[2], found)
+                assert text == " ".join(["Long story 2."] * 9) or found is None and outer == "div" and text.startswith("Long story 2."), (name, outer, text)
+    # comments stay out however long they are
+    pages = [page(i, f"<article><p>Short {i}</p></article><div class=comments>{f'<p>I think {i} so.</p>' * 30}</div>") for i in range(5)]
+    assert wrappers.extract(pages[2], wrappers.Wrapper(*wrappers.infer(pages))) == "Short 2" == wrappers.extract(pages[2], None)
