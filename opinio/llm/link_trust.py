@@ -10,10 +10,12 @@ whose path the url's path starts with.  Where no rule fits, its host decides:
   suspect); links are counted between hosts, those within a host do not count;
 * a host is blocked if its distrust exceeds its trust by more than ``MARGIN``.
 
-Links are the absolute or protocol-relative targets of anchors.  Everything is
+Links are the absolute or protocol-relative targets of anchors, read from the
+run of characters other than ``<`` and ``>`` that follows ``<a``.  Everything is
 DataFrame functions.  Links are summed by pair of hosts within tasks before the
 shuffle; each round's ranks, one row per host, are written to the shared
-folder, and the rounds end when the ranks move by less than ``TOLERANCE`` in all.
+folder, and the rounds end when the ranks move by less than ``TOLERANCE`` of the seeds'
+whole mass; each round moves at most ``DAMPING`` times what the one before did.
 
 Results for odd input: a null url, or one without ``://``, has an empty host
 and path, fits no rule, spreads nothing and is allowed; null html has no links;
@@ -38,11 +40,12 @@ RULES = [
 ]
 DAMPING = 0.85
 TOLERANCE = 1e-6
-ROUNDS = 50
 # A third of what a host gets if a rule blocks all of its pages.
 MARGIN = (1 - DAMPING) / 3
 _URL = "(?s)^.*?://([^/?#]*)([^?#]*)"
-_ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^\s"'>]+)"""
+# Possessive throughout, so that broken markup of any length is read once.
+_ANCHOR = r"(?i)<a(?=\s)[^<>]*+"
+_TARGET = r"""(?i)\shref\s*+=\s*+["']?\s*+((?:[a-z][a-z0-9+.\-]*+:)?+//[^\s"'>]++)"""
 
 
 def host(url: Column) -> Column:
@@ -71,15 +74,16 @@ def by_rule(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(src, dst, n)``: links between different hosts."""
-    targets = F.regexp_extract_all(F.coalesce(quoted(html_col), F.lit("")), F.lit(_ANCHOR), F.lit(1))
-    found = pages.select(host(quoted(url_col)).alias("src"), F.explode(targets).alias("target"))
+    anchors = F.regexp_extract_all(F.coalesce(quoted(html_col), F.lit("")), F.lit(_ANCHOR), F.lit(0))
+    each = pages.select(host(quoted(url_col)).alias("src"), F.explode(anchors).alias("anchor"))
+    found = each.select("src", F.regexp_extract("anchor", _TARGET, 1).alias("target"))
     # a protocol-relative target gets a scheme, so that its host is read like any other
     whole = F.when(F.col("target").startswith("//"), F.concat(F.lit("http:"), "target")).otherwise(F.col("target"))
     between = found.select("src", host(whole).alias("dst")).filter("src != '' AND dst != '' AND src != dst")
     return between.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``(host, rank)``: personalised PageRank from ``seeds`` (host, seed) along ``links`` (src, dst, n)."""
     total = links.groupBy("src").agg(F.sum("n").alias("total"))
     edges = cut(links.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")), "host-edges")
@@ -87,15 +91,15 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     ranks = start.withColumnRenamed("start", "rank")
     if edges.isEmpty():
         return ranks
-    for _ in range(rounds):
+    mass = start.agg(F.sum("start")).first()[0] or 0.0
+    while True:
         flow = edges.join(ranks, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         new = cut(flow.union(start.select("host", "start")).groupBy("host").agg(F.sum("rank").alias("rank")), "host-ranks")
         moved = new.join(ranks.withColumnRenamed("rank", "old"), "host", "full")
         change = moved.agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
         ranks = new
-        if (change or 0) < tolerance:
-            break
-    return ranks
+        if (change or 0) <= tolerance * mass:
+            return ranks
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", margin: float = MARGIN) -> DataFrame:
