@@ -18,7 +18,8 @@ the shuffle hash (sums of the ranges first, then the rows of one range each),
 and the cut from ranges of virtual time (sums first, then the rows of the range
 that crosses the budget).  With n rows there are about sqrt(n) ranges, so no
 task sees more than about sqrt(n) rows or sums, whatever a source's share is.
-Equal rows are counted once with their number before they are spread again.
+Equal rows are counted once with their number; a row of more than ``CHUNK`` copies
+is spread again in chunks dealt over tasks, so no task makes all its copies.
 
 Results for odd input: documents without words take 0 and have no place in the
 queue; a null source is a source; null doc_ids and repeated rows are documents
@@ -33,11 +34,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.llm.common import WORD_PATTERN, cut, free_name, quoted, row_hash
+from opinio.llm.common import WORD_PATTERN, cut, free_name, quoted, row_hash, width
+from opinio.operators.rank import row_number_global
 
 # The weights in turn and the most copies of a document.
 WEIGHTS = (1, 2, 3)
 EPOCHS = 3
+# Copies of one row that one task makes at most.
+CHUNK = 4096
 _HALF = float(1 << 63)
 
 
@@ -52,11 +56,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     weight of the sources that have not stopped.  A stop stays a stop in later
     rounds, since what is shared per weight only grows.
     """
-    totals = cut(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    # one row per source, not per document
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    turn = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    weighed = cut(totals.withColumn("weight", turn), "mix-weights")
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("no_source", F.col("source").isNull())
+    placed = row_number_global(totals, ["no_source", "source"], [], out="place", collapse_copies=False, id_type="bigint")
+    turn = F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    weighed = cut(placed.select("source", "source_size", turn.alias("weight")), "mix-weights")
     stop = F.col("source_size") * epochs
     whole = weighed.agg(F.sum("source_size")).first()[0] or 0
     share, stopped = 0.0, -1
@@ -84,6 +87,14 @@ def queue(rows: DataFrame) -> DataFrame:
     return run.join(bases, same).select(run["source"], "id", "tag", "size", "n", (F.col("base") + F.col("inside")).alias("before"))
 
 
+def numbered(rows: DataFrame, n: str, out: str, chunk: str, deal_by: list[str]) -> DataFrame:
+    """Every row n times, numbered from 1 in ``out``; chunks of copies are dealt over tasks (``chunk`` is a free name)."""
+    n, at = quoted(n).cast("long"), quoted(chunk)
+    chunks = rows.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / CHUNK).cast("long"))))
+    dealt = chunks.repartition(width(rows.sparkSession), *[quoted(c) for c in deal_by], at)
+    return dealt.withColumn(out, F.explode(F.sequence(at * CHUNK + 1, F.least((at + 1) * CHUNK, n)))).drop(chunk)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``(id, tag, source, size, source_size, target, copies)`` for every row of ``docs``.
 
@@ -94,9 +105,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     aims = cut(targets(sized.select("source", (F.col("size") * F.col("n")).alias("size")), weights, epochs), "mix-targets")
     queued = queue(sized.filter("size > 0"))
     # one row per copy of equal rows, then one per time over
-    copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-    named = F.broadcast(aims) if aims.count() <= 10_000 else aims
-    lined = copies.join(named, copies["source"].eqNullSafe(named["source"])).drop(named["source"])
+    copies = numbered(queued, "n", "copy", "chunk", ["tag", "id"])
+    lined = copies.join(aims, copies["source"].eqNullSafe(aims["source"])).drop(aims["source"])
     reached = F.col("before") + F.col("copy") * F.col("size")
     lined = cut(lined.select("source", "id", "tag", "size", "copy", "source_size", "target", reached.alias("reached")), "mix-queue")
 
@@ -124,19 +134,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         for e in range(1, epochs + 1)
     )
     got = marked.select("source", "id", "tag", "size", taken.alias("copies"))
-    empty = sized.filter("size = 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    empty = numbered(sized.filter("size = 0"), "n", "copy", "chunk", ["tag", "id"])
     every = got.union(empty.select("source", "id", "tag", "size", F.lit(0).alias("copies")))
-    return every.join(named, every["source"].eqNullSafe(named["source"])).drop(named["source"])
+    return every.join(aims, every["source"].eqNullSafe(aims["source"])).drop(aims["source"])
 
 
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with its columns."""
-    tag = free_name(docs, "row_tag")
-    times = free_name(docs, "times")
-    taken = mix(docs, id_col, text_col, source_col, seed).groupBy(F.col("tag").alias(tag)).agg(F.sum("copies").cast("int").alias(times))
-    once = docs.withColumn(tag, row_hash(docs, seed)).dropDuplicates([tag])
-    each = F.explode(F.sequence(F.lit(1), quoted(times)))
-    return once.join(taken.filter(quoted(times) > 0), tag).withColumn(times, each).select(*[quoted(c) for c in docs.columns])
+    tag, times, chunk, copy = (free_name(docs, x) for x in ("row_tag", "times", "row_chunk", "row_copy"))
+    taken = mix(docs, id_col, text_col, source_col, seed).groupBy(F.col("tag").alias(tag)).agg(F.sum("copies").cast("long").alias(times))
+    taken = cut(taken.filter(quoted(times) > 0), "mix-taken")
+    tagged = docs.withColumn(tag, row_hash(docs, seed))
+    columns = [quoted(c) for c in docs.columns]
+    few = tagged.dropDuplicates([tag]).join(taken.filter(quoted(times) <= CHUNK), tag)
+    out = few.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), quoted(times)))).select(*columns)
+    many = taken.filter(quoted(times) > CHUNK)
+    if not many.isEmpty():
+        # rows of so many copies are looked up by themselves, so that only they are dealt out anew
+        out = out.union(numbered(tagged.join(many, tag).dropDuplicates([tag]), times, copy, chunk, [tag]).select(*columns))
+    return out
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -91,3 +91,19 @@ def test_query_on_documents(spark):
     rows_ = joined.collect()
     check(docs, rows_)
     assert all(r.size == count(r.text) and r.taken == r.size * r.copies for r in rows_)
+
+
+def test_copies_of_one_row_are_dealt_over_tasks(spark):
+    """A row that is a third of all: no task makes many of its copies, and the rows are the same as ever."""
+    docs = spark.createDataFrame([(7, "Same words", "en", "a", 4)] * 30_000 + [(i, f"T{i} x", "en", "b", 2) for i in range(60_000)], DOCS)
+    mixed = mixing.mix(docs)
+    assert mixed.count() == 90_000
+    made = mixing.numbered(spark.createDataFrame([(1, 2, 100_000), (2, 3, 1), (3, 4, 4097)], "tag long, id long, n long"), "n", "copy", "chunk", ["tag", "id"])
+    assert made.columns == ["tag", "id", "n", "copy"]
+    got = made.groupBy("tag").agg(F.count("*"), F.min("copy"), F.max("copy"), F.count_distinct("copy")).orderBy("tag").collect()
+    assert [tuple(r) for r in got] == [(1, 100_000, 1, 100_000, 100_000), (2, 1, 1, 1, 1), (3, 4097, 1, 4097, 4097)]
+    per_task = [r["n"] for r in made.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(per_task) < 60_000 and len(per_task) > 3
+    taken = {r.id: r.n for r in mixed.groupBy("id").agg(F.sum("copies").alias("n")).collect()}
+    out = mixing.apply(docs).groupBy("doc_id").agg(F.count("*").alias("n"))
+    assert {r.doc_id: r.n for r in out.collect()} == {k: n for k, n in taken.items() if n}
