@@ -172,9 +172,11 @@ def clean_reviews(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_c
     )
 
 
-def cleaning_funnel(df: DataFrame) -> DataFrame:
+def cleaning_funnel(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_chars: int | None = MAX_CLEAN_LENGTH) -> DataFrame:
     """AGG-16: records remaining after each batch cleaning step, in one pass.
 
+    ``min_chars`` and ``max_chars`` as in :func:`clean_reviews` (None: no such filter).
+
     One aggregation groups identical rows (this is the de-duplication); the
     group sizes give the loaded count, the group count the de-duplicated one,
     and conditional counts over the groups give every later step.
@@ -184,9 +186,9 @@ def cleaning_funnel(df: DataFrame) -> DataFrame:
     clean_len = F.col("_len")
     rating_int = ratings.int_rating(df, "rating")
     present = ~is_missing(df, "review") & ~is_missing(df, "rating")
-    long_enough = present & (clean_len >= MIN_CLEAN_LENGTH)
+    long_enough = present if min_chars is None else present & (clean_len >= min_chars)
     valid = long_enough & rating_int.between(RATING_MIN, RATING_MAX)
-    short_enough = valid & (clean_len <= MAX_CLEAN_LENGTH)
+    short_enough = valid if max_chars is None else valid & (clean_len <= max_chars)
     wide = groups.agg(
         F.sum("_n").alias("s0"),
         F.count(F.lit(1)).alias("s1"),

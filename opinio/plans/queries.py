@@ -148,6 +148,43 @@ def q_external_table_scan(spark, sf):
     return files.read_table(spark, path, SENTIMENT_TABLE_SCHEMA)
 
 
+@register("declared_tables", "SRC-4 (catalog), JOB-6", with_ctes("""
+SELECT 'cleaned_reviews' AS table_name, count(*) AS records, count(*) AS analyzed, true AS kept, count(DISTINCT user_id) AS users FROM cleaned_reviews
+UNION ALL SELECT 'sentiment_results', count(*), count(*), true, count(DISTINCT user_id) FROM sentiment_results""", "sentiment_results"))
+def q_declared_tables(spark, sf):
+    """Both tables of the SQL reports, declared, analysed and declared again over another folder (which changes nothing)."""
+    root = scratch_dir(spark, "declared")
+    tag = root.rsplit("-", 1)[1]
+    ids = {c: recommend.as_int_id(c) for c in ("user_id", "product_id")}
+    parts = []
+    for name, df, schema in (("cleaned_reviews", cleaned(spark, sf), StructType(SENTIMENT_TABLE_SCHEMA.fields[:-1])),
+                             ("sentiment_results", sentiment_results(spark, sf), SENTIMENT_TABLE_SCHEMA)):
+        table, path = f"{name}_{tag}", f"{root}/{name}"
+        files.write_parquet(df.withColumns(ids).select(*schema.names), path)
+        files.declare_table(spark, table, path, schema)
+        files.analyze_table(spark, table)
+        declared = files.declare_table(spark, table, f"{root}/elsewhere", schema)
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        analyzed = int(described["Statistics"].split(",")[1].split()[0])
+        kept = described["Location"].rstrip("/").endswith(path.split(":", 1)[-1].rstrip("/"))
+        parts.append(declared.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("user_id").alias("users")).select(
+            F.lit(name).alias("table_name"), "records", F.lit(analyzed).cast("long").alias("analyzed"), F.lit(kept).alias("kept"), "users"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("run_history_scan", "SRC-5, SNK-2 (history)", with_ctes("SELECT * FROM universal_sentiment", "universal_sentiment"))
+def q_run_history_scan(spark, sf):
+    """The newest of two published runs; a third one is written but not published."""
+    base = scratch_dir(spark, "history")
+    table = sent.universal_sentiment(universal(spark, sf))
+    files.write_history(table.filter("sentiment = 'Positive'"), base, "sentiment_results", 1)
+    files.publish_history(spark, base, 1)
+    files.write_history(table, base, "sentiment_results", 2)
+    files.publish_history(spark, base, 2)
+    files.write_history(table.limit(3), base, "sentiment_results", 3)
+    return files.latest_of_history(spark, base, "sentiment_results", table.schema)
+
+
 @register("latest_run_scan", "SRC-5, SNK-2, SNK-3", with_ctes("SELECT * FROM universal_sentiment",
                                                                "universal_sentiment"))
 def q_latest_run_scan(spark, sf):

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from opinio.session import scratch_dir
@@ -67,12 +67,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def declare_table(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
-    """SRC-4, catalog form: an external Parquet table over ``path``, created only if absent."""
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+    """SRC-4, catalog form: an external Parquet table over ``path``; one that is already declared is kept as it is."""
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet LOCATION '{place}'")
     return spark.table(name)
 
 
+def analyze_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> None:
+    """Row count, size and column statistics into the catalog, for the plans of later reports (one scan)."""
+    which = "ALL COLUMNS" if columns is None else "COLUMNS " + ", ".join("`" + c.replace("`", "``") + "`" for c in columns)
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR {which}")
+
+
 # --- writers --------------------------------------------------------------
 
 def write_csv(df: DataFrame, path: str, multiline: bool = False) -> None:
@@ -145,3 +151,44 @@ def read_run_table(spark: SparkSession, pointer_path: str, name: str) -> DataFra
         if _absent(e):
             return None
         raise
+
+
+# --- run history: every run's tables side by side, by partition --------------------
+
+RUN_ID = "run_id"
+_RUNS = "_runs"
+
+
+def write_history(df: DataFrame, base: str, name: str, run_id: int) -> None:
+    """One table of one run, as the partition ``run_id`` of the history's table ``name``; an error if the run has it."""
+    write_parquet(df, f"{base}/{name}/{RUN_ID}={run_id}", mode="errorifexists")
+
+
+def publish_history(spark: SparkSession, base: str, run_id: int) -> None:
+    """Make a run visible, after all its tables are written; an error if it already is."""
+    record = spark.createDataFrame([(run_id,)], f"{RUN_ID} long")
+    record.coalesce(1).write.mode("errorifexists").parquet(f"{base}/{_RUNS}/{run_id}")
+
+
+def published_runs(spark: SparkSession, base: str) -> DataFrame:
+    """``run_id`` of every published run."""
+    return spark.read.schema(f"{RUN_ID} long").option("recursiveFileLookup", "true").parquet(f"{base}/{_RUNS}")
+
+
+def history(spark: SparkSession, base: str, name: str, schema: StructType) -> DataFrame:
+    """Table ``name`` of all published runs with its ``run_id``; what an unfinished run has written is not seen."""
+    plain = [f for f in schema.fields if f.name != RUN_ID]
+    whole = spark.read.schema(StructType([*plain, StructField(RUN_ID, LongType())])).parquet(f"{base}/{name}")
+    return whole.join(published_runs(spark, base), RUN_ID, "left_semi")
+
+
+def latest_of_history(spark: SparkSession, base: str, name: str, schema: StructType) -> DataFrame:
+    """Table ``name`` of the newest published run.
+
+    The newest id is a scalar subquery on the partition column, so the scan lists
+    and reads that run's files only.
+    """
+    plain = [f for f in schema.fields if f.name != RUN_ID]
+    whole = spark.read.schema(StructType([*plain, StructField(RUN_ID, LongType())])).parquet(f"{base}/{name}")
+    newest = published_runs(spark, base).agg(F.max(RUN_ID)).scalar()
+    return whole.filter(F.col(RUN_ID) == newest).select(*[F.col("`" + c.replace("`", "``") + "`") for c in (f.name for f in plain)])
