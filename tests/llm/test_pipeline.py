@@ -1,5 +1,6 @@
 import corpus_pipeline
 import public_tokenizers
+import plain_pipeline
 from llm_helpers import LABELS, clashing, rows
 from tokenizers import Tokenizer
 
@@ -36,6 +37,20 @@ def test_run(spark):
     assert rows(got) == rows(corpus_pipeline.run(spark, sf))
 
 
+def test_run_against_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = plain_pipeline.keep_good(docs, labels)
+    assert sorted(r.doc_id for r in good) == sorted(r.doc_id for r in importance.op3(spark, sf).select("doc_id").collect())
+    assert 0 < len(good) < docs.count()
+    single = plain_pipeline.drop_copies(good)
+    assert 0 < len(single) < len(good)
+    mixed = plain_pipeline.mix(spark.createDataFrame([tuple(r)[: len(docs.columns)] for r in single], docs.schema))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = sorted([(r.doc_id, *digest(library, r.text)) for r in mixed], key=repr)
+    assert rows(corpus_pipeline.run(spark, sf)) == want
+
+
 def test_odd_and_empty_tables(spark, tmp_path, odd_docs, no_docs):
     sf = str(tmp_path)
     spark.createDataFrame([(4, 1, 0), (5, 0, 0), (6, None, 1)], LABELS).write.parquet(f"{sf}/labels.parquet")
