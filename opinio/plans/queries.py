@@ -28,7 +28,7 @@ from opinio.plans import oracle as O
 from opinio.plans.oracle import with_ctes
 from opinio.session import scratch_dir
 from opinio.sources import collections as coll
-from opinio.sources import files
+from opinio.sources import files, keyed_store
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -657,6 +657,17 @@ def q_kv_apply(spark, sf):
     return kv_state(spark, sf)
 
 
+@register("kv_merge_segments", "KV-1, KV-3, KV-4, KV-5, SRC-7", with_ctes("SELECT * FROM kv_state", "kv_state"))
+def q_kv_merge_segments(spark, sf):
+    """The log in three segments whose operations interleave, merged one after the other into a stored table."""
+    log = fixtures.fixture(spark, sf, "cell_log")
+    base = scratch_dir(spark, "kv-store")
+    keyed_store.create(log.filter(F.col("seq") % 3 == 1), base)
+    for late in (0, 2):
+        keyed_store.merge(log.filter(F.col("seq") % 3 == late), base)
+    return keyed_store.state(spark, base)
+
+
 # --- jobs -----------------------------------------------------------------------------
 
 @register("clean_reviews", "JOB-1", with_ctes("SELECT * FROM cleaned_reviews", "cleaned_reviews"))
