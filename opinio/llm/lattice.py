@@ -4,18 +4,21 @@ Tokens are words (A-Z lower-cased, runs outside space and U+0009..U+000D) and
 one end per text.  The model of a text is the product of its tokens'
 probabilities; that of a word is the marginal of a lattice over its bytes:
 
-* a path starts with a word-initial piece of an existing vocabulary (pieces
-  with the word mark) and goes on with inner pieces or single bytes, then stops;
-  initial pieces sum to 1, and so do inner pieces, bytes and the stop;
-* a word seen in training has one more path, an edge over the whole word.
+a path starts with a word-initial piece of an existing vocabulary (pieces with
+the word mark) and goes on with inner pieces or single bytes, then stops.  Initial
+pieces sum to 1, and so do inner pieces, bytes and the stop.  Every path goes
+through pieces of the vocabulary alone; a word that was seen has no edge of its own.
 
 The vocabulary's scores are merge ranks, so a piece first weighs 1 / (rank +
-``RANK_SHIFT``).  One round of expectation-maximisation over all distinct
-training words (forward and backward, expected uses of each piece) adapts these
-weights to the corpus; a piece that is never used keeps a small part of them.
-The whole-word edge of a word with count c weighs (c - D) / N, the words' paths
-through pieces share what the discount D leaves, D * V / N, and the end weighs
-its share of the N tokens, so that the probabilities of all texts add up to at most 1.
+``RANK_SHIFT``).  One round of expectation-maximisation over all training words,
+each distinct word once with its count (forward and backward, expected uses of each
+piece), adapts these weights to the corpus; a piece that is never used keeps a small
+part of them.  Words and the end share the tokens as they do in training, so that the
+probabilities of all texts add up to 1.
+
+``word_score`` is beside it for comparison: there a word with count c > 0 has one more
+path, an edge over the whole word of weight (c - D) / N, and the words' paths
+through pieces share what the discount D leaves of the words' part.
 
 At scale: words are counted in each task and summed by a shuffle.  Words whose
 count passes a threshold taken from a histogram of the counts, at most
@@ -107,12 +110,14 @@ class Pieces:
             out += prior if not total else (uses * group + KEPT * total * prior) / (total * (1 + KEPT))
         return out
 
-    def edges(self, word: bytes) -> tuple[list[tuple[int, int]], list[list[tuple[int, int]]]]:
-        """``(to, piece)`` from before the word, and from every place in it."""
-        n = len(word)
-        start = [(j, p) for j in range(min(n, self.longest_initial) + 1) if (p := self.initial.get(word[:j])) is not None]
-        get, longest = self.inner.get, self.longest
-        return start, [[(j, p) for j in range(i + 1, min(n, i + longest.get(word[i : i + 2], 1)) + 1) if (p := get(word[i:j])) is not None] for i in range(n)]
+    def starts(self, word: bytes) -> list[tuple[int, int]]:
+        """``(to, piece)`` from before the word."""
+        return [(j, p) for j in range(min(len(word), self.longest_initial) + 1) if (p := self.initial.get(word[:j])) is not None]
+
+    def onward(self, word: bytes, i: int) -> list[tuple[int, int]]:
+        """``(to, piece)`` from place ``i`` of the word."""
+        get, longest = self.inner.get, self.longest.get(word[i : i + 2], 1)
+        return [(j, p) for j in range(i + 1, min(len(word), i + longest) + 1) if (p := get(word[i:j])) is not None]
 
 
 @lru_cache(maxsize=2)
@@ -126,28 +131,31 @@ def _log_sum(terms: list[float]) -> float:
 
 
 def forward(word: bytes, vocabulary: Pieces, logs: list[float]) -> float:
-    """Natural log of the word's marginal over all segmentations; ``logs`` are the pieces' log weights."""
-    start, inner = vocabulary.edges(word)
-    reach: list[list[float]] = [[] for _ in range(len(word) + 1)]
-    for j, p in start:
-        reach[j].append(logs[p])
-    for i, out in enumerate(inner):
-        if reach[i]:
-            at = _log_sum(reach[i])
-            for j, p in out:
-                reach[j].append(at + logs[p])
+    """Natural log of the word's marginal over all segmentations; ``logs`` are the pieces' log weights.
+
+    Only the places that a piece can still reach are held, whatever the word's length.
+    """
+    reach: dict[int, list[float]] = {}
+    for j, p in vocabulary.starts(word):
+        reach.setdefault(j, []).append(logs[p])
+    for i in range(len(word)):
+        if terms := reach.pop(i, None):
+            at = _log_sum(terms)
+            for j, p in vocabulary.onward(word, i):
+                reach.setdefault(j, []).append(at + logs[p])
     return _log_sum(reach[len(word)]) + logs[vocabulary.stop]
 
 
-def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[float], uses: list[float]) -> None:
-    """Add the expected uses of every piece in one occurrence of ``word`` (forward and backward sums).
+def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[float], uses: list[float], times: float = 1) -> None:
+    """Add the expected uses of every piece in ``times`` occurrences of ``word`` (forward and backward sums).
 
-    Long words, whose sums would underflow, go by logarithms.
+    Long words, whose sums would underflow, go by logarithms and hold two numbers a byte.
     """
-    start, inner = vocabulary.edges(word)
+    start = vocabulary.starts(word)
     n = len(word)
-    uses[vocabulary.stop] += 1
+    uses[vocabulary.stop] += times
     if n <= 48:
+        inner = [vocabulary.onward(word, i) for i in range(n)]
         a, b = [0.0] * (n + 1), [0.0] * (n + 1)
         for j, p in start:
             a[j] += probs[p]
@@ -155,7 +163,7 @@ def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[flo
             for j, p in out:
                 a[j] += a[i] * probs[p]
         if a[n] > 1e-280:
-            b[n] = 1 / a[n]
+            b[n] = times / a[n]
             for i in range(n - 1, -1, -1):
                 for j, p in inner[i]:
                     back = b[j] * probs[p]
@@ -164,21 +172,24 @@ def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[flo
             for j, p in start:
                 uses[p] += probs[p] * b[j]
             return
-    reach: list[list[float]] = [[] for _ in range(n + 1)]
+    reach: dict[int, list[float]] = {}
     for j, p in start:
-        reach[j].append(logs[p])
-    fore = []
+        reach.setdefault(j, []).append(logs[p])
+    fore = np.full(n + 1, -np.inf)
     for i in range(n + 1):
-        fore.append(_log_sum(reach[i]) if reach[i] else -math.inf)
-        for j, p in inner[i] if i < n else ():
-            reach[j].append(fore[i] + logs[p])
-    back_logs = [-math.inf] * n + [-fore[n]]
+        if terms := reach.pop(i, None):
+            fore[i] = at = _log_sum(terms)
+            for j, p in vocabulary.onward(word, i):
+                reach.setdefault(j, []).append(at + logs[p])
+    back_logs = np.full(n + 1, -np.inf)
+    back_logs[n] = math.log(times) - fore[n]
     for i in range(n - 1, -1, -1):
-        back_logs[i] = _log_sum([back_logs[j] + logs[p] for j, p in inner[i]])
-        for j, p in inner[i]:
-            uses[p] += math.exp(min(0.0, fore[i] + logs[p] + back_logs[j]))
+        out = vocabulary.onward(word, i)
+        back_logs[i] = _log_sum([float(back_logs[j]) + logs[p] for j, p in out])
+        for j, p in out:
+            uses[p] += math.exp(min(math.log(times), float(fore[i]) + logs[p] + float(back_logs[j])))
     for j, p in start:
-        uses[p] += math.exp(min(0.0, logs[p] + back_logs[j]))
+        uses[p] += math.exp(min(math.log(times), logs[p] + float(back_logs[j])))
 
 
 class Model:
@@ -190,21 +201,24 @@ class Model:
         # V of the base score counts the end as a distinct token, if there is one
         self.base = self.tokens + ADDED * (distinct + (ends > 0) + 1)
         self.discount = once / (once + 2 * twice) if once and twice else 0.5
-        n = max(1, self.tokens)
-        self.pieces_share = max(self.discount * distinct, 1e-3) / n
+        # the end and the words share all tokens, half a token more each
+        self.shared = self.tokens + 2 * ADDED
+        self.words_share = (words + ADDED) / self.shared
+        self.unseen_share = (self.discount * distinct + ADDED) / self.shared
 
     def known(self, c: int) -> float:
         return math.log10((c + ADDED) / self.base)
 
-    def word(self, word: bytes, c: int) -> float:
-        """log10 of the word's marginal, with its whole-word edge if it was seen."""
-        by_pieces = forward(word, pieces(self.path), self.logs) + math.log(self.pieces_share)
+    def word(self, word: bytes, c: int) -> tuple[float, float]:
+        """log10 of the word's marginal over its segmentations, and of the one with a whole-word edge if the word was seen."""
+        by_pieces = forward(word, pieces(self.path), self.logs)
+        whole = by_pieces + math.log(self.unseen_share)
         if c:
-            by_pieces = _log_sum([by_pieces, math.log(max(c - self.discount, 1e-9) / self.tokens)])
-        return by_pieces / _LN10
+            whole = _log_sum([whole, math.log((c - self.discount) / self.shared)])
+        return (by_pieces + math.log(self.words_share)) / _LN10, whole / _LN10
 
     def end(self) -> float:
-        return math.log10(max(self.ends, ADDED) / max(1, self.tokens))
+        return math.log10((self.ends + ADDED) / self.shared)
 
 
 def held_out(id_col: str) -> Column:
@@ -234,7 +248,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def adapt(words: DataFrame, path: str) -> np.ndarray:
-    """Piece weights after one round over the distinct ``words``, each counted once; the sums come back as one number a piece."""
+    """Piece weights after one round over ``words`` with their counts; the sums come back as one number a piece."""
     vocabulary = pieces(path)
     begin = vocabulary.weights()
 
@@ -242,13 +256,13 @@ def adapt(words: DataFrame, path: str) -> np.ndarray:
         own = pieces(path)
         probs, logs, uses = begin.tolist(), np.log(begin).tolist(), [0.0] * len(begin)
         for b in batches:
-            for w in b.column(0):
-                expected(w.as_py(), own, probs, logs, uses)
+            for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                expected(w, own, probs, logs, uses, c)
         used = [i for i, x in enumerate(uses) if x]
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([uses[i] for i in used], pa.float64())], names=["piece", "uses"])
 
     uses = np.zeros(len(begin))
-    for r in words.select("word").mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+    for r in words.select("word", "c").mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
         uses[r.piece] = r.uses
     return vocabulary.weights(uses)
 
@@ -276,11 +290,11 @@ def fit(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
 
 
 REST = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
-SUMS = pa.schema([("row", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+SUMS = pa.schema([("row", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word_score", pa.float64())])
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
-    """``(id, held_out, n_tokens, n_known, base_score, score)`` of every row, in log10."""
+    """``(id, held_out, n_tokens, n_known, base_score, score, word_score)`` of every row, in log10."""
     spark = docs.sparkSession
     ship(spark)
     least = head_count(counts, head_words)
@@ -288,53 +302,54 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     def score_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             both = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            cols = [b.column(0), pa.array([model.known(c) for _, c in both], pa.float64()), pa.array([model.word(w, c) for w, c in both], pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["word", "base", "score"])
+            lattice, whole = zip(*[model.word(w, c) for w, c in both]) if both else ((), ())
+            cols = [b.column(0), *(pa.array(x, pa.float64()) for x in ([model.known(c) for _, c in both], lattice, whole))]
+            yield pa.RecordBatch.from_arrays(cols, names=["word", "base", "score", "word_score"])
 
     # at most head_words rows, see head_count
-    frequent = counts.filter(F.col("c") >= least).mapInArrow(score_head, "word binary, base double, score double")
-    head = spark.sparkContext.broadcast({bytes(r.word): (r.base, r.score) for r in frequent.collect()})
+    frequent = counts.filter(F.col("c") >= least).mapInArrow(score_head, "word binary, base double, score double, word_score double")
+    head = spark.sparkContext.broadcast({bytes(r.word): (r.base, r.score, r.word_score) for r in frequent.collect()})
 
     def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = head.value, (model.known(model.ends), model.end())
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                b = batch.slice(at, ROWS)
                 rows = []
                 for t in texts_of(b.column(3)):
                     seen = Counter(words_of(t))
-                    n, (base, total), rest = 0, end, []
+                    n, (base, total), whole, rest = 0, end, end[1], []
                     for w, k in seen.items():
                         if found := known.get(w):
-                            n, base, total = n + k, base + k * found[0], total + k * found[1]
+                            n, base, total, whole = n + k, base + k * found[0], total + k * found[1], whole + k * found[2]
                         else:
                             rest.append({"word": w, "times": k})
-                    rows.append((sum(seen.values()) + 1, n + (model.ends > 0), base, total, rest))
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), REST))]
-                yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], names=["id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rest"])
+                    rows.append((sum(seen.values()) + 1, n + (model.ends > 0), base, total, whole, rest))
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), REST))]
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], names=["id", "held_out", "row", "n_tokens", "n_known", "base", "score", "word_score", "rest"])
 
     def score_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[bytes, tuple[float, float]] = {}  # a sorted join brings a word's rows together
+        last: dict[bytes, tuple[float, float, float]] = {}  # a sorted join brings a word's rows together
         for b in batches:
             rows = []
             for i, w, k, c in zip(*(x.to_pylist() for x in b.columns)):
                 if w not in last:
                     if len(last) > 10_000:
                         last.clear()
-                    last[w] = (model.known(c), model.word(w, c))
-                rows.append((i, k if c else 0, k * last[w][0], k * last[w][1]))
+                    last[w] = (model.known(c), *model.word(w, c))
+                rows.append((i, k if c else 0, *(k * x for x in last[w])))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SUMS)], schema=SUMS)
 
     # the row numbers are written with the rows, so they stay the same in whatever is run again
     source = docs.select(quoted(id_col).alias("id"), held_out(id_col).alias("held_out"), F.monotonically_increasing_id().alias("row"), quoted(text_col).cast("string").alias("text"))
-    fields = f"id {source.schema['id'].dataType.simpleString()}, held_out boolean, row long, n_tokens long, n_known long, base double, score double, rest array<struct<word: binary, times: int>>"
+    fields = f"id {source.schema['id'].dataType.simpleString()}, held_out boolean, row long, n_tokens long, n_known long, base double, score double, word_score double, rest array<struct<word: binary, times: int>>"
     texts = cut(source.mapInArrow(score_texts, fields), "lm-texts")
     rest = texts.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
     joined = rest.join(counts, "word", "left").select("row", "word", "times", F.coalesce("c", F.lit(0)).alias("c"))
-    sums = joined.mapInArrow(score_rest, "row long, n_known long, base double, score double")
-    sums = sums.groupBy("row").agg(*(F.sum(x).alias(f"more_{x}") for x in ("n_known", "base", "score")))
-    more = [(F.col(x) + F.coalesce(F.col(f"more_{x}"), F.lit(0))).alias(y) for x, y in (("n_known", "n_known"), ("base", "base_score"), ("score", "score"))]
+    sums = joined.mapInArrow(score_rest, "row long, n_known long, base double, score double, word_score double")
+    sums = sums.groupBy("row").agg(*(F.sum(x).alias(f"more_{x}") for x in ("n_known", "base", "score", "word_score")))
+    more = [(F.col(x) + F.coalesce(F.col(f"more_{x}"), F.lit(0))).alias(y) for x, y in (("n_known", "n_known"), ("base", "base_score"), ("score", "score"), ("word_score", "word_score"))]
     return texts.drop("rest").join(sums, "row", "left").select("id", "held_out", "n_tokens", *more)
 
 
@@ -345,4 +360,4 @@ def op5(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model, counts = fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
     scored = score(docs, model, counts)
-    return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "word_score")

@@ -124,24 +124,67 @@ def test_head_and_rest_give_the_same_scores(spark):
     # and those of a plain loop
     for d in docs.limit(20).collect():
         words = d.text.encode().lower().split()
-        total = model.end() + sum(model.word(w, seen.get(w, 0)) for w in words)
-        assert all_rest[d.doc_id].score == pytest.approx(total)
+        each = [model.word(w, seen.get(w, 0)) for w in words]
+        assert all_rest[d.doc_id].score == pytest.approx(model.end() + sum(x for x, _ in each))
+        assert all_rest[d.doc_id].word_score == pytest.approx(model.end() + sum(x for _, x in each))
 
 
 def test_seen_words_and_end_are_a_distribution(spark):
     docs = spark.createDataFrame([(2, "a a a b b c d", None, None, None), (4, "a e f", None, None, None)], DOCS)
     model, counts = lattice.fit(docs, PATH)
-    whole = sum(max(r.c - model.discount, 0) / model.tokens for r in counts.collect())
-    assert whole + model.pieces_share + 10 ** model.end() == pytest.approx(1)
+    assert model.words_share + 10 ** model.end() == pytest.approx(1)
+    whole = sum((r.c - model.discount) / model.shared for r in counts.collect())
+    assert whole + model.unseen_share + 10 ** model.end() == pytest.approx(1)
+
+
+def test_score_sums_all_segmentations_of_whole_texts(spark, vocabulary):
+    """Seen and unseen words alike: the text's probability is that of all ways to cut it into vocabulary pieces."""
+    texts = ["the cat, the mat", "Thand ond", "", "the zqx"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in zip((2, 4, 6, 1), texts)], DOCS)
+    model, counts = lattice.fit(docs, PATH)
+    assert {bytes(r.word) for r in counts.collect()} == {w.encode().lower() for t in texts for w in t.split()} - ({b"zqx"} if lattice_held(1) else set())
+    probs = np.exp(model.logs)
+    got = {r.id: r.score for r in lattice.score(docs, model, counts).collect()}
+    for i, t in zip((2, 4, 6, 1), texts):
+        want = 10 ** model.end()
+        for w in t.lower().encode().split():
+            ways = sum(math.prod(probs[p] for p in s) for s in segmentations(w, vocabulary))
+            want *= model.words_share * ways * probs[vocabulary.stop]
+        assert got[i] == pytest.approx(math.log10(want))
+
+
+def lattice_held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 1
+
+
+def test_counts_weigh_in_the_round(vocabulary):
+    """``times`` occurrences count as that many single ones, also by logarithms."""
+    probs = vocabulary.weights()
+    for word in (b"inting", b"ab" * 40):
+        one, many = [0.0] * len(probs), [0.0] * len(probs)
+        lattice.expected(word, vocabulary, probs.tolist(), np.log(probs).tolist(), one)
+        lattice.expected(word, vocabulary, probs.tolist(), np.log(probs).tolist(), many, 7)
+        assert many == pytest.approx([7 * x for x in one])
+
+
+def test_one_very_long_word_is_scored_in_little_memory(vocabulary):
+    import tracemalloc
+
+    logs = np.log(vocabulary.weights()).tolist()
+    word = b"x7q" * 60_000
+    tracemalloc.start()
+    assert lattice.forward(word, vocabulary, logs) < 0
+    assert tracemalloc.get_traced_memory()[1] < 1_000_000
+    tracemalloc.stop()
 
 
 def test_fits_held_out_text_better_than_pieces_alone(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model, counts = lattice.fit(docs, PATH)
     got = lattice.score(docs, model, counts).filter("held_out").collect()
-    plain = lattice.Model(PATH, lattice.pieces(PATH).weights(), 0, 1, 0, 0, 0)
+    plain = lattice.Model(PATH, lattice.pieces(PATH).weights(), 1000, 0, 0, 0, 0)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    pieces_only = sum(sum(plain.word(w, 0) for w in texts[r.id].encode().lower().split()) for r in got)
+    pieces_only = sum(sum(plain.word(w, 0)[0] for w in texts[r.id].encode().lower().split()) for r in got)
     assert sum(r.score for r in got) > pieces_only
 
 
