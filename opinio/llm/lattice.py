@@ -35,7 +35,7 @@ are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -133,17 +133,23 @@ def _log_sum(terms: list[float]) -> float:
 def forward(word: bytes, vocabulary: Pieces, logs: list[float]) -> float:
     """Natural log of the word's marginal over all segmentations; ``logs`` are the pieces' log weights.
 
-    Only the places that a piece can still reach are held, whatever the word's length.
+    Of a long word only the places that a piece can still reach are held.
     """
-    reach: dict[int, list[float]] = {}
+    n = len(word)
+    get, longest = vocabulary.inner.get, vocabulary.longest.get
+    long = n > 1024
+    reach = defaultdict(list) if long else [[] for _ in range(n + 1)]
     for j, p in vocabulary.starts(word):
-        reach.setdefault(j, []).append(logs[p])
-    for i in range(len(word)):
-        if terms := reach.pop(i, None):
-            at = _log_sum(terms)
-            for j, p in vocabulary.onward(word, i):
-                reach.setdefault(j, []).append(at + logs[p])
-    return _log_sum(reach[len(word)]) + logs[vocabulary.stop]
+        reach[j].append(logs[p])
+    for i in range(n):
+        if terms := reach[i]:
+            at = terms[0] if len(terms) == 1 else _log_sum(terms)
+            for j in range(i + 1, min(n, i + longest(word[i : i + 2], 1)) + 1):
+                if (p := get(word[i:j])) is not None:
+                    reach[j].append(at + logs[p])
+        if long:
+            del reach[i]
+    return _log_sum(reach[n]) + logs[vocabulary.stop]
 
 
 def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[float], uses: list[float], times: float = 1) -> None:
@@ -155,7 +161,8 @@ def expected(word: bytes, vocabulary: Pieces, probs: list[float], logs: list[flo
     n = len(word)
     uses[vocabulary.stop] += times
     if n <= 48:
-        inner = [vocabulary.onward(word, i) for i in range(n)]
+        get, longest = vocabulary.inner.get, vocabulary.longest.get
+        inner = [[(j, p) for j in range(i + 1, min(n, i + longest(word[i : i + 2], 1)) + 1) if (p := get(word[i:j])) is not None] for i in range(n)]
         a, b = [0.0] * (n + 1), [0.0] * (n + 1)
         for j, p in start:
             a[j] += probs[p]
