@@ -28,7 +28,7 @@ from opinio.plans import oracle as O
 from opinio.plans.oracle import with_ctes
 from opinio.session import scratch_dir
 from opinio.sources import collections as coll
-from opinio.sources import files, keyed_store
+from opinio.sources import csv_split, files, keyed_store
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +122,15 @@ def q_csv_multiline_scan(spark, sf):
     return files.read_csv_multiline(spark, path)
 
 
+@register("csv_split_scan", "SRC-2", with_ctes("SELECT * FROM doc_reviews", "doc_reviews"))
+def q_csv_split_scan(spark, sf):
+    """The same rows, every file cut into byte ranges for several tasks."""
+    path = scratch_dir(spark, "csv-split")
+    reviews = docs(spark, sf)
+    files.write_csv(reviews, path, multiline=True)
+    return csv_split.read_csv_split(spark, path, reviews.schema)
+
+
 @register("parquet_scan", "SRC-3", with_ctes("SELECT * FROM cleaned_reviews", "cleaned_reviews"))
 def q_parquet_scan(spark, sf):
     path = scratch_dir(spark, "cleaned_data")
