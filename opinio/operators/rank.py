@@ -22,16 +22,29 @@ map-side combine and expanded again with a copy index.  A group with more than
 in chunks spread round-robin over tasks, so no task generates or sorts it
 alone; the copy index then lets the range sampler split it like any other key.
 
-Dense ranks run the same steps over the distinct keys (one row per key, so no
-range can be skewed) and join the ranks back on the key, null-safe.
+Dense ranks of a key with few values run the same steps over the distinct keys
+(one row per key, so no range can be skewed) and join the ranks back on the
+key, null-safe.  Dense ranks of a text that is nearly different on every row
+(:func:`rank_by_sort`) need neither the distinct nor the join: the rows
+themselves are range-sorted once and the changes of the key are counted as each
+sorted partition streams by; a hash of its first and last key tells whether
+the next partition goes on with the same key.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from opinio.operators.clean import q, resolve
+from opinio.session import ship_package
 from opinio.sources.files import materialize
 
 _POS_BITS = 33
@@ -112,6 +125,71 @@ def key_ranks(df: DataFrame, key: str, out: str, id_type: str = "int") -> DataFr
     return row_number_global(distinct_keys, ["_k"], tie_break=[], out=out, collapse_copies=False, id_type=id_type)
 
 
+def _edge(value: str | None) -> str:
+    return "null" if value is None else hashlib.sha256(value.encode()).hexdigest()
+
+
+def _count_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with ``_key`` -> the rows without it, with ``_local`` (distinct keys of this partition so far)
+    and ``_edge`` (the key's hash on the partition's first and last row, else null)."""
+    seen, last, held = 0, None, None
+    for b in batches:
+        n = b.num_rows
+        if n == 0:
+            continue
+        at = b.schema.get_field_index("_key")
+        key = b.column(at)
+        here, before = key.slice(1), key.slice(0, n - 1)
+        changed = np.empty(n, bool)
+        changed[0] = seen == 0 or key[0].as_py() != last
+        # a comparison with a null is null: it is a change if only one side is
+        changed[1:] = pc.coalesce(pc.not_equal(here, before), pc.xor(pc.is_null(here), pc.is_null(before))).to_numpy(zero_copy_only=False)
+        local = seen + np.cumsum(changed)
+        edges = [None] * n
+        if seen == 0:
+            edges[0] = _edge(key[0].as_py())
+        seen, last = int(local[-1]), key[n - 1].as_py()
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([*held[0], pa.array(held[1], pa.string())], names=held[2])
+        rest = [(b.schema.names[i], b.column(i)) for i in range(b.num_columns) if i != at]
+        held = [c for _, c in rest] + [pa.array(local, pa.int64())], edges, [name for name, _ in rest] + ["_local", "_edge"]
+    if held is not None:
+        held[1][-1] = _edge(last)
+        yield pa.RecordBatch.from_arrays([*held[0], pa.array(held[1], pa.string())], names=held[2])
+
+
+def rank_by_sort(df: DataFrame, key: str, out: str, id_type: str = "int") -> DataFrame:
+    """``df`` plus ``out`` = dense rank of the text column ``key`` (null first) by one range sort of the rows.
+
+    ``_row``, the tie-break, is fixed in a written table, so a key on a third of
+    the rows is split over ranges like any other, identical rows included.  A
+    partition's rows stream through Python in Arrow batches of bounded bytes
+    with one counter; what is brought together afterwards is one row a partition
+    (a count and two hashes).  An empty frame gives an empty frame.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rank-input")
+    order = [q(key).asc_nulls_first(), F.col("_row")]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = ranged.drop("_row").select("*", F.spark_partition_id().cast("long").alias("_pid"), q(key).alias("_key"))
+    names = [f"c{i}" for i in range(len(df.columns))]  # plain names on the way through Arrow, whatever the headers are
+    fields = [StructField(n, f.dataType) for n, f in zip(names, df.schema.fields)]
+    counted = ranged.toDF(*names, "_pid", "_key").mapInArrow(
+        _count_changes, StructType([*fields, StructField("_pid", LongType()), StructField("_local", LongType()), StructField("_edge", StringType())]))
+    counted = materialize(counted, "rank-sorted")
+    parts = counted.filter(F.col("_edge").isNotNull()).groupBy("_pid").agg(
+        F.max("_local").alias("_n"), F.min_by("_edge", "_local").alias("_first"), F.max_by("_edge", "_local").alias("_last"))
+    # one row per partition: the windows below see a bounded, tiny frame
+    by_range = Window.orderBy("_pid")
+    goes_on = F.coalesce(F.col("_first") == F.lag("_last").over(by_range), F.lit(False)).cast("long")
+    new = parts.select("_pid", "_n", (F.col("_n") - goes_on).alias("_new"))
+    offsets = new.select("_pid", (F.sum("_new").over(by_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_off"))
+    kept = [(n, c) for n, c in zip(names, df.columns) if c.lower() != out.lower()]
+    return counted.join(F.broadcast(offsets), "_pid").select(
+        *[F.col(n).alias(c) for n, c in kept], (F.col("_off") + F.col("_local")).cast(id_type).alias(out))
+
+
 def with_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]], id_type: str = "int") -> DataFrame:
     """``df`` plus one dense-rank column per ``(key, out)``; null keys rank first.
 
@@ -121,7 +199,11 @@ def with_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]], id_type: str =
     splitting a skewed key.  A column already named ``out`` (without case) is
     replaced, as ``withColumn`` would.
     """
-    df = materialize(df, "rank-input")
+    return _join_ranks(materialize(df, "rank-input"), ranked_keys, id_type)
+
+
+def _join_ranks(df: DataFrame, ranked_keys: list[tuple[str, str]], id_type: str = "int") -> DataFrame:
+    """:func:`with_ranks` for a frame that is cheap to read twice."""
     ranked_keys = [(resolve(df, k), out) for k, out in ranked_keys]
     outs = {out.lower() for _, out in ranked_keys}
     joined = df
@@ -151,5 +233,13 @@ def surrogate_ids(df: DataFrame, order: str = "review", tie_break: list[str] | N
 
 
 def dense_rank_ids(df: DataFrame, review_col: str, product_col: str) -> DataFrame:
-    """WIN-3: ``user_id`` = dense rank of the review text, ``product_id`` = dense rank of the product."""
-    return with_ranks(df, [(review_col, "user_id"), (product_col, "product_id")])
+    """WIN-3: ``user_id`` = dense rank of the review text, ``product_id`` = dense rank of the product.
+
+    The review text is nearly different on every row, so it is ranked by sorting
+    the rows; a product stands on many rows, so its few values are ranked and joined.
+    """
+    review, product = resolve(df, review_col), resolve(df, product_col)
+    by_sort = df.schema[review].dataType == StringType() and not {review.lower(), product.lower()} & {"user_id", "product_id"}
+    if not by_sort:
+        return with_ranks(df, [(review, "user_id"), (product, "product_id")])
+    return _join_ranks(rank_by_sort(df, review, "user_id"), [(product, "product_id")])

@@ -8,9 +8,11 @@ under the system temp directory; any other master is refused.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -80,6 +82,22 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}/opinio/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so Python tasks import it by name there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_opinio_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="opinio-pkg-"), "opinio.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("opinio", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._opinio_shipped = True
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every scratch table of this application; call it when a job's results are written elsewhere."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{_checkpoint_root(spark).rstrip('/')}/opinio")

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from opinio.session import ship_package
 from opinio.sources.files import materialize
 
 _BLOCKS = "file string, block long, odd int, closes_out boolean, closes_in boolean"
@@ -124,6 +125,7 @@ def _blocks(lines: DataFrame) -> DataFrame:
 
 def read_csv_split(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """SRC-2: the rows of header CSV files with quoted line breaks, each file read by as many tasks as it has byte ranges."""
+    ship_package(spark)
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     # one row a byte range; the hash join leaves the lines in their order

@@ -142,3 +142,49 @@ def test_dense_rank_join_back_splits_a_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _sort_check(spark, df, key="review"):
+    got = rank.rank_by_sort(df, key, "dr")
+    w = Window.orderBy(F.col(f"`{key}`").asc_nulls_first())
+    want = df.withColumn("dr", F.dense_rank().over(w))
+    assert got.columns == want.columns and got.schema["dr"].dataType == want.schema["dr"].dataType
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_rank_by_sort_equals_window(spark):
+    _sort_check(spark, _frame(spark))
+    # empty text next to null, texts beyond ASCII, a long one, a header with a dot, clashing inner names
+    words = [None, "", " ", "a", "A", "\u00e9", "\U0001f600", "\uffff", "z" * 200_000]
+    rows = [(words[i % len(words)], i % 3, i) for i in range(200)]
+    _sort_check(spark, spark.createDataFrame(rows, "`the.text` string, _pid int, _key long").repartition(7), "the.text")
+    _sort_check(spark, spark.createDataFrame([], "review string, n int"))
+    _sort_check(spark, spark.createDataFrame([(None, 1), (None, 2)], "review string, n int"))
+
+
+def test_rank_by_sort_over_many_small_batches_and_partitions(spark):
+    """A third of the rows share one text: it spans partitions and Arrow batches, and counts once."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": "37",
+            "spark.sql.shuffle.partitions": "23"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(6000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+            .otherwise((F.col("id") % 1500).cast("string")).alias("review"))
+        _sort_check(spark, df)
+        _sort_check(spark, spark.range(3000).select(F.lit("same").alias("review")))
+        plan = rank.rank_by_sort(df, "review", "dr")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_dense_rank_ids_of_other_types(spark):
+    """A review column that is no text goes by the join; ids are the same."""
+    df = spark.range(60).select((F.col("id") % 7).alias("review"), (F.col("id") % 3).cast("string").alias("product"))
+    got = rank.dense_rank_ids(df, "review", "product")
+    want = df.select("*", F.dense_rank().over(Window.orderBy("review")).alias("user_id"), F.dense_rank().over(Window.orderBy("product")).alias("product_id"))
+    assert sorted(got.collect()) == sorted(want.collect())
