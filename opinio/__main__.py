@@ -38,11 +38,10 @@ def _write_tables(tables: dict[str, DataFrame], base: str) -> None:
 
 
 def _clean(spark: SparkSession, args) -> None:
-    raw = files.read_csv(spark, args.input, args.schema)
-    files.write_parquet(jobs.clean_reviews(raw), args.output)
-    cleaned = files.read_parquet(spark, args.output)
-    stats = {"cleaning_funnel": clean.cleaning_funnel(raw), "duplicate_stats": clean.duplicate_stats(raw),
-             "missing_counts": clean.missing_counts(raw), "rating_counts": reports.rating_counts(cleaned)}
+    out = clean.clean_with_counts(files.read_csv(spark, args.input, args.schema))
+    files.write_parquet(out.cleaned, args.output)
+    stats = {"cleaning_funnel": out.funnel, "duplicate_stats": out.duplicates, "missing_counts": out.missing,
+             "rating_counts": reports.rating_counts(files.read_parquet(spark, args.output))}
     _write_tables(stats, f"{args.output}_stats")
 
 

@@ -7,11 +7,14 @@ is done in one aggregation pass instead of an action per step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from opinio.functions import ratings, text
+from opinio.sources.files import materialize
 
 # Length limits of the batch cleaner.
 MIN_CLEAN_LENGTH = 5
@@ -82,11 +85,15 @@ def missing_counts(df: DataFrame, only_positive: bool = True) -> DataFrame:
     unless ``only_positive`` is False.
     """
     wide = df.agg(*[F.count_if(q(c).isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', c{i}" for i, c in enumerate(df.columns))
-    long = wide.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (column_name, missing_count)")
+    long = _missing_rows(wide, df.columns)
     return long.filter(F.col("missing_count") > 0) if only_positive else long
 
 
+def _missing_rows(wide: DataFrame, columns: list[str]) -> DataFrame:
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(c), F.col(f"c{i}"))]
+    return wide.select(F.stack(F.lit(len(columns)), *pairs).alias("column_name", "missing_count"))
+
+
 def drop_missing(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Rows with null (or NaN) in any of ``subset`` (default: all columns) dropped."""
     return df.dropna(subset=subset)
@@ -189,14 +196,17 @@ def cleaning_funnel(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max
     long_enough = present if min_chars is None else present & (clean_len >= min_chars)
     valid = long_enough & rating_int.between(RATING_MIN, RATING_MAX)
     short_enough = valid if max_chars is None else valid & (clean_len <= max_chars)
-    wide = groups.agg(
+    return _funnel_rows(groups.agg(
         F.sum("_n").alias("s0"),
         F.count(F.lit(1)).alias("s1"),
         F.count_if(present).alias("s2"),
         F.count_if(long_enough).alias("s3"),
         F.count_if(valid).alias("s4"),
         F.count_if(short_enough).alias("s5"),
-    )
+    ))
+
+
+def _funnel_rows(wide: DataFrame) -> DataFrame:
     return wide.selectExpr(
         "stack(6, 0, 'loaded', s0, 1, 'deduplicated', s1, 2, 'non_missing', s2, "
         "3, 'text_cleaned', s3, 4, 'valid_rating', s4, 5, 'outliers_removed', s5) "
@@ -204,13 +214,65 @@ def cleaning_funnel(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max
     )
 
 
-def stage_totals(df: DataFrame) -> DataFrame:
+@dataclass
+class CleanedWithCounts:
+    """The cleaned rows and the statistics that were counted while they were made."""
+    cleaned: DataFrame
+    funnel: DataFrame
+    duplicates: DataFrame
+    missing: DataFrame
+
+
+def clean_with_counts(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_chars: int | None = MAX_CLEAN_LENGTH,
+                      id_type: str = "bigint") -> CleanedWithCounts:
+    """JOB-1 with AGG-1..3 and AGG-16 from one read and one de-duplication of ``df``.
+
+    The rows of :func:`clean_reviews` are written to the shared folder, and the
+    counts are observed on that write: the sizes of the groups of identical
+    rows give the loaded and the missing values, the groups the later steps.
+    The written rows are then numbered, so no later job (the range sampler of
+    the ids among them) reads or counts the input again.  The frames equal
+    :func:`cleaning_funnel`, :func:`duplicate_stats` and :func:`missing_counts`;
+    one row of counts comes to the driver.  An empty input gives no cleaned rows,
+    steps of zero and no missing values; input columns named ``_n``, ``_len``
+    or ``_rating_in`` are refused.
+    """
+    clash = {c.lower() for c in df.columns} & {"_n", "_len", "_rating_in"}
+    if clash:
+        raise ValueError(f"reserved column names in the input: {sorted(clash)}")
+    spark = df.sparkSession
+    n = F.col("_n")
+    groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    groups = add_clean_text(groups)
+    size = F.length(q("review_clean"))
+    present = ~is_missing(df, "review") & ~is_missing(df, "rating")
+    long_enough = present if min_chars is None else present & (size >= min_chars)
+    valid = long_enough & ratings.int_rating(df, "rating").between(RATING_MIN, RATING_MAX)
+    short_enough = valid if max_chars is None else valid & (size <= max_chars)
+    steps = [F.coalesce(F.sum(n), F.lit(0)), F.count(F.lit(1)), *[F.count_if(c) for c in (present, long_enough, valid, short_enough)]]
+    lost = [F.coalesce(F.sum(F.when(q(c).isNull(), n)), F.lit(0)).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    seen = Observation("cleaning")
+    kept = groups.observe(seen, *[c.alias(f"s{i}") for i, c in enumerate(steps)], *lost).filter(short_enough).drop("_n")
+    kept = materialize(kept.withColumn("_rating_in", q("rating")).withColumn("rating", ratings.int_rating(df, "rating")), "cleaned")
+    counts = {k: int(v) for k, v in seen.get.items()}
+    wide = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in counts.items()])
+    rows = F.col("s0"), F.col("s1")
+    return CleanedWithCounts(
+        select_final_columns(kept, distinct_rows=True, id_type=id_type),
+        _funnel_rows(wide),
+        wide.select(rows[0].alias("rows_before"), rows[1].alias("rows_after"), (rows[0] - rows[1]).alias("duplicates_removed")),
+        _missing_rows(wide, df.columns).filter(F.col("missing_count") > 0),
+    )
+
+
+def stage_totals(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_chars: int | None = MAX_CLEAN_LENGTH) -> DataFrame:
     """AGG-17 for the chain's tables in one pass: ``table_name, records``.
 
     One grouping of identical rows counts the loaded rows, those the batch
     cleaner keeps (and labels), and those the universal cleaner keeps.
+    ``min_chars`` and ``max_chars`` as in :func:`clean_reviews`.
     """
-    funnel = cleaning_groups(df)
+    funnel = cleaning_groups(df, min_chars, max_chars)
     wide = funnel.agg(
         F.sum("_n").alias("s0"), F.count_if("_cleaned").alias("s1"), F.count_if(~F.col("_no_text")).alias("s2")
     )
@@ -220,12 +282,13 @@ def stage_totals(df: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_groups(df: DataFrame) -> DataFrame:
+def cleaning_groups(df: DataFrame, min_chars: int | None = MIN_CLEAN_LENGTH, max_chars: int | None = MAX_CLEAN_LENGTH) -> DataFrame:
     """Distinct rows of ``df`` with their number ``_n`` and whether each cleaner keeps them."""
     groups = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     groups = computed_once(groups, "_len", F.length(text.clean_lower_first(q("review"))))
     present = ~is_missing(df, "review") & ~is_missing(df, "rating")
-    kept = present & F.col("_len").between(MIN_CLEAN_LENGTH, MAX_CLEAN_LENGTH)
+    kept = present if min_chars is None else present & (F.col("_len") >= min_chars)
+    kept = kept if max_chars is None else kept & (F.col("_len") <= max_chars)
     valid = ratings.int_rating(df, "rating").between(RATING_MIN, RATING_MAX)
     return groups.select("_n", F.coalesce(kept & valid, F.lit(False)).alias("_cleaned"), q("review").isNull().alias("_no_text"))
 

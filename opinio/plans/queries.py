@@ -490,6 +490,40 @@ def q_cleaning_funnel(spark, sf):
     return clean.cleaning_funnel(raw(spark, sf))
 
 
+@register("clean_with_counts", "JOB-1, AGG-1, AGG-2, AGG-3, AGG-16", with_ctes("""
+SELECT 'cleaned' AS part, 'records' AS name, count(*) AS records FROM cleaned_reviews
+UNION ALL SELECT 'cleaned', 'sum_user_id', CAST(sum(user_id) AS BIGINT) FROM cleaned_reviews
+UNION ALL SELECT 'cleaned', 'sum_length', CAST(sum(length(review_clean)) AS BIGINT) FROM cleaned_reviews
+UNION ALL SELECT 'duplicates', 'removed',
+  (SELECT count(*) FROM reviews_raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM reviews_raw) d)
+UNION ALL SELECT 'missing', column_name, missing_count FROM (
+  SELECT 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS missing_count FROM reviews_raw
+  UNION ALL SELECT 'product_id', count(*) FILTER (WHERE product_id IS NULL) FROM reviews_raw
+  UNION ALL SELECT 'product_name', count(*) FILTER (WHERE product_name IS NULL) FROM reviews_raw
+  UNION ALL SELECT 'rating_raw', count(*) FILTER (WHERE rating_raw IS NULL) FROM reviews_raw
+  UNION ALL SELECT 'rating', count(*) FILTER (WHERE rating IS NULL) FROM reviews_raw
+  UNION ALL SELECT 'review', count(*) FILTER (WHERE review IS NULL) FROM reviews_raw) t
+WHERE missing_count > 0
+UNION ALL SELECT 'steps', 'loaded', count(*) FROM reviews_raw
+UNION ALL SELECT 'steps', 'deduplicated', count(*) FROM funnel_rows
+UNION ALL SELECT 'steps', 'non_missing', count(*) FROM funnel_rows WHERE present
+UNION ALL SELECT 'steps', 'text_cleaned', count(*) FROM funnel_rows WHERE present AND len >= 5
+UNION ALL SELECT 'steps', 'valid_rating', count(*) FROM funnel_rows WHERE present AND len >= 5 AND r BETWEEN 1 AND 5
+UNION ALL SELECT 'steps', 'outliers_removed', count(*) FROM funnel_rows
+  WHERE present AND len >= 5 AND r BETWEEN 1 AND 5 AND len <= 5000""", "cleaned_reviews", "funnel_rows"))
+def q_clean_with_counts(spark, sf):
+    """The cleaner and its statistics from one read: sums over the cleaned rows beside the observed counts."""
+    out = clean.clean_with_counts(raw(spark, sf))
+    sums = out.cleaned.agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("u"), F.sum(F.length("review_clean")).alias("t"))
+    parts = [
+        sums.selectExpr("stack(3, 'records', n, 'sum_user_id', u, 'sum_length', t) AS (name, records)").withColumn("part", F.lit("cleaned")),
+        out.duplicates.select(F.lit("removed").alias("name"), F.col("duplicates_removed").alias("records"), F.lit("duplicates").alias("part")),
+        out.missing.select(F.col("column_name").alias("name"), F.col("missing_count").alias("records"), F.lit("missing").alias("part")),
+        out.funnel.select(F.col("step").alias("name"), "records", F.lit("steps").alias("part")),
+    ]
+    return reduce(DataFrame.unionByName, parts).select("part", "name", "records")
+
+
 @register("table_totals", "AGG-17", with_ctes("""
 SELECT 'reviews_raw' AS table_name, count(*) AS records FROM reviews_raw
 UNION ALL SELECT 'cleaned_reviews', count(*) FROM cleaned_reviews
@@ -521,7 +555,8 @@ SELECT CAST(dense_rank() OVER (ORDER BY review NULLS FIRST) AS INTEGER) AS user_
 FROM universal""", "universal"))
 def q_dense_rank_ids(spark, sf):
     u, review_col, product_col = jobs.universal_clean(raw(spark, sf))
-    return rank.dense_rank_ids(u, review_col, product_col).select(
+    narrow = u.select("review", "Product_name", "Rating_Cleaned")  # only these go through the sort
+    return rank.dense_rank_ids(narrow, review_col, product_col).select(
         "user_id", "product_id", "review", "Product_name", "Rating_Cleaned")
 
 
