@@ -53,6 +53,24 @@ def test_lists_equal_all_pairs(spark, case):
         assert lists.scored < 0.6 * lists.pairs
 
 
+def test_a_query_stops_inside_a_block(spark):
+    # norms that fall quickly: a small share of the first block is enough
+    rng = np.random.default_rng(5)
+    q, x = rng.random((60, 4)).astype(np.float32), rng.random((5000, 4)).astype(np.float32) * rng.pareto(1.5, (5000, 1)).astype(np.float32)
+    ids = rng.permutation(5000)
+    lists = top_lists(vectors(spark, range(60), q), vectors(spark, ids, x), 5)
+    assert [r[:2] for r in rows_of(lists)] == [r[:2] for r in brute(range(60), q, ids, x, 5)]
+    assert lists.scored < 0.3 * lists.pairs
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(6)
+    q, x = rng.random((70, 10)).astype(np.float32), rng.random((900, 10)).astype(np.float32)
+    one, two = (rows_of(top_lists(vectors(spark, range(70), q).repartition(p), vectors(spark, range(900), x).repartition(p), 5, block=b, pack=k))
+                for p, b, k in ((1, 64, 7), (5, 1000, 512)))
+    assert one == two
+
+
 def test_lists_of_few_and_none(spark):
     q, x = vectors(spark, [1, 2], [[1, 2], None]), vectors(spark, [7, 8, 9], [[1, 0], [0, 1], None])
     assert rows_of(top_lists(q, x, 5)) == [(1, 7, 1.0), (1, 8, 2.0)]
