@@ -30,21 +30,25 @@ def _sides(fitted: Fitted) -> tuple[DataFrame, DataFrame]:
 def user_optimality(triples: DataFrame, fitted: Fitted) -> DataFrame:
     """``(user_id, residual)`` for every user of ``triples``: the gradient's worst coordinate, relative to its terms.
 
-    A user or product without a factor row has an infinite residual.
+    A user or product without a factor row has an infinite residual.  The products
+    are joined first, so the rows are shuffled with one factor row only and already
+    lie by user for the sums; these are plain numbers, for which Spark keeps a hash
+    table (rows holding an array would be sorted as a whole).
     """
     users, items = _sides(fitted)
     rank = fitted.params.get("rank", DEFAULT_RANK)
     reg, held = fitted.params["regParam"], fitted.params.get("nonnegative", False)
     rating = F.col(fitted.rating_col).cast("double")
-    rows = triples.join(users, "user_id", "left").join(items, "product_id", "left").withColumn("e", _dot("x", "w") - rating)
+    rows = triples.join(items, "product_id", "left").join(users, "user_id", "left").withColumn("e", _dot("x", "w") - rating)
     x = [F.get("x", F.lit(k)).cast("double") for k in range(rank)]
     sums = [F.sum(x[k] * F.col("e")).alias(f"g{k}") for k in range(rank)]
     sizes = [F.sum(F.abs(x[k]) * (F.abs(F.col("e") + rating) + F.abs(rating))).alias(f"s{k}") for k in range(rank)]
+    held_by = [F.any_value(F.get("w", F.lit(k))).alias(f"w{k}") for k in range(rank)]
     n = F.count(F.lit(1)).alias("n")
-    one = rows.groupBy("user_id").agg(n, F.count_if(F.col("e").isNull()).alias("missing"), F.any_value("w").alias("w"), *sums, *sizes)
+    one = rows.groupBy("user_id").agg(n, F.count_if(F.col("e").isNull()).alias("missing"), *held_by, *sums, *sizes)
     worst = []
     for k in range(rank):
-        w = F.get("w", F.lit(k)).cast("double")
+        w = F.col(f"w{k}").cast("double")
         gradient = F.col(f"g{k}") + reg * F.col("n") * w
         off = F.when((w <= 0) & (gradient > 0), 0.0).otherwise(F.abs(gradient)) if held else F.abs(gradient)
         worst.append(off / (F.col(f"s{k}") + reg * F.col("n") * F.abs(w) + 1e-6))

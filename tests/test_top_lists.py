@@ -134,3 +134,24 @@ def test_checks_see_a_wrong_fit(spark):
     assert recommend_checks.list_check(turned, fitted).filter("valid").count() < 0.1 * nested.count()
     strict = recommend.Fitted(fitted.model, "rating", fitted.params | {"regParam": 1.0})
     assert recommend_checks.user_optimality(train, strict).filter(f"residual <= {recommend_checks.TOLERANCE}").count() == 0
+
+
+def test_normal_equations_are_summed_without_a_sort(spark):
+    train, _ = recommend.split(recommend.rating_triples(queries.cleaned(spark, SF_SMALL)))
+    fitted = recommend.train(train)
+    plan = recommend_checks.user_optimality(train, fitted)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_optimality_sums_need_one_shuffle_of_wide_rows(spark):
+    train, _ = recommend.split(recommend.rating_triples(queries.cleaned(spark, SF_SMALL)))
+    fitted = recommend.train(train)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = recommend_checks.user_optimality(train.localCheckpoint(), fitted)._jdf.queryExecution().executedPlan().toString()
+        assert recommend_checks.user_optimality(train, fitted).filter(f"residual > {recommend_checks.TOLERANCE}").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # ratings by product, products, ratings with one factor row by user, users; the sums use what lies by user
+    assert plan.count("Exchange hashpartitioning") == 4
