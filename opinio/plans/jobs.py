@@ -84,14 +84,18 @@ def universal_run(spark: SparkSession, raw: DataFrame, run_base: str, pointer_pa
     # later steps read the table just written instead of re-reading and
     # re-cleaning the (unsplittable, multi-line) CSV
     cleaned = spark.read.parquet(written["cleaned_data"])
-    labelled = sent.universal_sentiment(cleaned)
-    written["sentiment_results"] = files.write_run_table(labelled, run_base, "sentiment_results")
+    written["sentiment_results"] = files.write_run_table(sent.universal_sentiment(cleaned), run_base, "sentiment_results")
     if collections_base:
+        # labelled once: the collection reads the table just written, for its ranges and for its rows
+        labelled = spark.read.parquet(written["sentiment_results"])
         coll.write_collection(coll.with_record_id(labelled), f"{collections_base}/sentiment_analysis", key=coll.ID_FIELD)
     if real_ids:
         lists = recommend.universal_recommendations_by_id(cleaned)
     else:
-        lists = recommend.universal_recommendations(rank.dense_rank_ids(cleaned, review_col, product_col))
+        # only the columns that the fit needs go through the ranks
+        needed = dict.fromkeys(clean.resolve(cleaned, c) for c in (review_col, product_col, "Rating_Cleaned"))
+        rated = cleaned.select(*[clean.q(c) for c in needed])
+        lists = recommend.universal_recommendations(rank.dense_rank_ids(rated, review_col, product_col))
     if lists is not None:
         written["recommendations"] = files.write_run_table(lists, run_base, "recommendations")
         if collections_base:

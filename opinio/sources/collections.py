@@ -29,7 +29,8 @@ def record_id(columns: list[str]) -> Column:
     The lengths keep the fields apart whatever they hold; a null field is the bare marker.
     """
     texts = [q(c).cast("string") for c in columns]
-    parts = [F.when(t.isNull(), NULL_MARKER).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    # null if the text is null; outside a condition, so Spark makes each text once
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARKER)) for t in texts]
     return F.sha2(F.concat(*parts), 256)
 
 
