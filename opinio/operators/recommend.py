@@ -139,8 +139,9 @@ def als_grid(ratings: int, users: int, items: int, rank_: int, memory: int, para
     """Blocks of users and of items for a fit, from the data and the memory of a task.
 
     A block holds its share of the ratings, its ids with their factors, and the
-    factors of the other side that its ratings name; that must fit in a quarter of
-    ``memory``.  Beyond that need, a block for every ``RATINGS_PER_BLOCK`` ratings
+    factors of the other side that its ratings name (ids dealt at random; if some are
+    named more often, they are fewer); that must fit in a quarter of ``memory``.  No
+    more blocks than that: a factor row is sent to each block that names it.  Beyond that need, a block for every ``RATINGS_PER_BLOCK`` ratings
     is worth a task of its own, up to ``parallelism``.  Every map task keeps a
     builder for each cell of the grid, and all of them must fit in half of
     ``memory``: where they would not, both sides get fewer, larger blocks.
@@ -151,7 +152,8 @@ def als_grid(ratings: int, users: int, items: int, rank_: int, memory: int, para
         blocks = 1
         while True:
             share = -(-ratings // blocks)
-            size = share * _RATING_BYTES + (-(-own // blocks) + min(other, share)) * (_ID_BYTES + rank_ * _FACTOR_BYTES)
+            named = math.ceil(-other * math.expm1(-share / max(1, other)))
+            size = share * _RATING_BYTES + (-(-own // blocks) + named) * (_ID_BYTES + rank_ * _FACTOR_BYTES)
             if size <= room or blocks >= max(1, ratings):
                 return blocks
             blocks = max(blocks + 1, min(2 * blocks, int(blocks * size / room)))
