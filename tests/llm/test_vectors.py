@@ -77,6 +77,75 @@ def test_bounds_spare_exact_reads():
     assert sum(read) < 0.2 * 20 * 4000
 
 
+def nodes(plan):
+    """The nodes of a plan that has run, those inside its stages too."""
+    name = plan.nodeName()
+    below = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else [plan.children().apply(i) for i in range(plan.children().size())]
+    return [plan] + [x for b in below for x in nodes(b)]
+
+
+def test_queries_are_sent_once_a_group(spark, monkeypatch):
+    monkeypatch.setattr(va_file, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=8).tolist(), 0) for i in range(3000)], VECTORS)
+    vectors = va_file.integers(va_file.usable(df, "vec_id", "embedding"))
+    file = va_file.build(vectors, 5)
+    found = va_file.search(vectors.filter("id % 10 = 0"), file, 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if the tables were large
+    try:
+        assert sorted(map(tuple, found.collect())) == top_products(finite(df), 5, 10)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    blocks, groups = file.count(), 2 * spark.sparkContext.defaultParallelism
+    assert blocks > 150 > 2 * groups
+    ran = nodes(found._jdf.queryExecution().executedPlan())
+    hits = next(x for x in ran if x.nodeName() == "MapInArrow")
+    # k rows for each query and group, where it was a list and more for each block
+    assert 300 * 5 <= hits.metrics().apply("pythonNumRowsReceived").value() <= 300 * 5 * groups
+    # a query of 8 components in as many groups, and the file, not a query of 64 bytes for each block
+    sent = [x.metrics().apply("dataSize").value() for x in ran if x.nodeName() == "Exchange"]
+    assert max(sent) < 300 * 64 * blocks / 4
+
+
+def test_many_parts_and_groups(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("QUERY_BLOCK", 8), ("PART", 100), ("GROUP", 2), ("TOGETHER", 3), ("GATHERED", 50)):
+        monkeypatch.setattr(va_file, name, value)
+    rng = np.random.default_rng(7)
+    data = [(i, rng.integers(-3, 4, 4 + i % 2).astype(float).tolist(), 0) for i in range(900)]
+    df = spark.createDataFrame(data, VECTORS)
+    assert products(df, 5, 10) == top_products(finite(df), 5, 10)
+
+
+def test_rows_of_the_own_id_take_no_places(spark):
+    rng = np.random.default_rng(5)
+    data = [(50, [100.0 + i, 100.0], 0) for i in range(20)] + [(i, rng.normal(size=2).tolist(), 0) for i in range(1, 40)] + [(50, [1.0, 1.0], 0), (3, [1.0, 1.0], 0)]
+    ints = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v, _ in data]
+    want = sorted((-int(v @ w), i) for q, v in ints if q == 50 for i, w in ints if i != 50)[:5]
+    got = products(spark.createDataFrame(data, VECTORS), 5, 50)
+    assert got == [(50, r, i, -s) for r, (s, i) in enumerate(want, 1)]
+
+
+def test_lists_go_on_from_block_to_block():
+    rng = np.random.default_rng(6)
+    blocks = [rng.integers(-w, w, (n, 5)) for w, n in ((1 << 28, 3), (30, 200), (1 << 18, 70), (3, 300), (1 << 28, 90), (2, 9))]
+    q = np.concatenate([rng.integers(-w, w, (9, 5)) for w in (2, 1 << 10, 1 << 28)])
+    ids, own = rng.permutation(sum(map(len, blocks))), np.arange(27)
+    best, start = va_file.Best(len(q), 4), 0
+    for v in blocks:
+        low = v.min(axis=0)
+        step = (v.max(axis=0) - low) // va_file.CELLS + 1
+        here = ids[start : start + len(v)]
+        # every third vector has a second row
+        seconds = np.where(here % 3 == 0, here + 1000, here)
+        va_file.meet(q, low, step, ((v - low) // step).astype(np.uint8), va_file._narrow(v), here, 4, seconds, own, best, start)
+        start += len(v)
+    v = np.concatenate(blocks)
+    for one, me, (places, scores) in zip(q, own, best):
+        least = np.where((ids == me) & (ids % 3 == 0), ids + 1000, ids)
+        want = sorted((-int(s), int(i), p) for p, (s, i) in enumerate(zip(v @ one, least)) if i != me)[:4]
+        assert [(-s, least[p], p) for p, s in zip(places.tolist(), scores.tolist())] == want
+
+
 def nearest(df, k, every):
     rows = va_file.usable(df, "vec_id", "embedding").filter("exists(x, c -> c != 0)")
     return learned_partitions.search(rows.filter(f"id % {every} = 0"), rows, k)
